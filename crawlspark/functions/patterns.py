@@ -3,6 +3,11 @@ r"""Functions over signature patterns, run on the catalog and never on pages (F8
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# For required_texts: special characters, stand-ins for them, and a mark for what is cut out
+_SPECIAL = "\\.[]{}()^$|?*+"
+_SAFE = "".join(chr(0xE000 + i) for i in range(len(_SPECIAL)))
+_GAP = "\u0001"
+
 BODY_FLAGS = "(?sm)"
 HEADER_FLAGS = "(?si)"
 
@@ -50,22 +55,29 @@ def as_list(value: Column) -> Column:
     )
 
 
-def required_literal(pattern: Column) -> Column:
-    """The longest text that is part of every match of ``pattern``; null if none is certain.
+def required_texts(pattern: Column) -> Column:
+    """Texts of three and more characters that every match of ``pattern`` contains, all of them.
 
     Everything that a match can do without is cut out first: classes, groups, and whatever a
-    quantifier follows. Alternatives at the top level, flags and quoting give null.
+    quantifier follows. Null if no such text is certain, as with alternatives at the top level,
+    flags and quoting.
     """
-    gap = "\u0001"
-    left = F.regexp_replace(pattern, r"(?s)\\[pP](?:\{[^}]*\}|.)|\\k<[^>]*>|\\\d+|\\.", gap)
-    left = F.regexp_replace(left, r"\[\^?\]?[^\]\[]*\]", gap)
+    # escaped special characters stand for themselves: kept safe while the others are cut out
+    paired = F.regexp_replace(pattern, r"\\\\", _SAFE[0])
+    left = paired
+    for special, safe in zip(_SPECIAL[1:], _SAFE[1:]):
+        left = F.replace(left, F.lit("\\" + special), F.lit(safe))
+    left = F.regexp_replace(left, r"\\([^a-zA-Z0-9])", "$1")
+    left = F.regexp_replace(left, r"\\[pP](?:\{[^}]*\}|.)|\\k<[^>]*>|\\\d+|\\.", _GAP)
+    left = F.regexp_replace(left, r"\[\^?\]?[^\]\[]*\]", _GAP)
     for _ in range(4):
-        left = F.regexp_replace(left, r"\([^()]*\)", gap)
-    left = F.regexp_replace(left, r"(?s).[?*][?+]?|.\{[^}]*\}[?+]?", gap)
-    runs = F.transform(
-        F.split(left, rf"[{gap}.^$+]"),
-        lambda run: F.struct(F.length(run).alias("size"), run.alias("text")),
+        left = F.regexp_replace(left, r"\([^()]*\)", _GAP)
+    left = F.regexp_replace(left, r"(?s).[?*][?+]?|.\{[^}]*\}[?+]?", _GAP)
+    runs = F.filter(F.split(left, rf"[{_GAP}.^$+]"), lambda run: F.length(run) >= 3)
+    texts = F.array_distinct(F.transform(runs, lambda run: F.translate(run, _SAFE, _SPECIAL)))
+    unsure = (
+        pattern.rlike(f"[{_GAP}{_SAFE}]")
+        | paired.rlike(r"\(\?-?[a-zA-Z]|\\[QExu0cN]|&&")
+        | left.rlike(r"[|()\[\]{}\\]")
     )
-    longest = F.element_at(F.array_sort(runs), -1)
-    unsure = pattern.rlike(r"\(\?-?[a-zA-Z]|\\[QExu0cN]|&&") | left.rlike(r"[|()\[\]{}]")
-    return F.when(~unsure & (longest["size"] >= 3), longest["text"])
+    return F.when(~unsure & (F.size(texts) > 0), texts)

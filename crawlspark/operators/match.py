@@ -3,10 +3,10 @@
 A page is matched inside its own row, so detection neither shuffles nor pairs every page with
 every pattern. Two steps:
 
-1. *Candidates.* Each pattern has a text that every match contains (``required_literal``). The
-   page is searched for those texts: with ``contains`` for a small catalog, in one pass over the
-   page for a large one, whatever the number of patterns.
-2. *Check.* The regular expressions of the candidates, and of the patterns without such a text, run
+1. *Candidates.* Most patterns have texts that every match contains (``required_texts``). The page
+   is searched for them: with ``contains`` for a small catalog; for a large one in one pass over
+   the page, whatever the number of patterns.
+2. *Check.* The regular expressions of the candidates, and of the patterns without such texts, run
    on the page.
 
 The second step alone decides, so both ways give the same rows.
@@ -15,6 +15,7 @@ The second step alone decides, so both ways give the same rows.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -28,7 +29,7 @@ from crawlspark.runtime import broadcast_if_small, fits_in_memory, work_dir
 
 BODY_KINDS = ("html", "scripts")
 
-# Up to this many texts are looked for one by one
+# Up to this many patterns are tried one by one
 ONE_BY_ONE_MAX = 24
 
 # Patterns that one pass over the pages may carry to every task
@@ -36,7 +37,7 @@ PATTERNS_PER_PASS = 20_000
 BYTES_PER_PASS = 16 * 1024 * 1024
 
 _FOUND = "array<struct<app_name:string,app_type:string>>"
-_RULES = "array<struct<app_name:string,app_type:string,header_name:string,regex:string,literal:string>>"
+_RULES = "array<struct<app_name:string,app_type:string,header_name:string,regex:string,texts:array<string>>>"
 
 
 def match_pages(
@@ -54,58 +55,61 @@ def match_pages(
     """
     if headers is not None:
         kinds = [*kinds, "headers"]
-    rules = catalog.where(F.col("evidence").isin(list(kinds))).select(
-        "app_name",
-        F.col("evidence").alias("app_type"),
-        "header_name",
-        F.when(F.col("evidence") == "headers", patterns.header_regex(F.col("pattern")))
-        .otherwise(patterns.body_regex(F.col("pattern")))
-        .alias("regex"),
-        F.when(F.col("evidence") != "headers", patterns.required_literal(F.col("pattern"))).alias(
-            "literal"
-        ),
-    )
-    if fits_in_memory(rules, patterns_per_pass, BYTES_PER_PASS):
-        return _match_rules(pages, rules, text, headers)
-    return _match_in_passes(pages, rules, text, headers, patterns_per_pass)
+    wanted = catalog.where(F.col("evidence").isin(list(kinds)))
+    if fits_in_memory(wanted, patterns_per_pass, BYTES_PER_PASS):
+        return _match_rules(pages, wanted, text, headers)
+    return _match_in_passes(pages, wanted, text, headers, patterns_per_pass)
 
 
 def _match_in_passes(
-    pages: DataFrame, rules: DataFrame, text: str, headers: str | None, per_pass: int
+    pages: DataFrame, catalog: DataFrame, text: str, headers: str | None, per_pass: int
 ) -> DataFrame:
     """A catalog too large for one pass: a share of it at a time, the results written as they come.
 
     The driver and the tasks hold one share only.
     """
     spark = pages.sparkSession
-    count, size = rules.agg(
-        F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    ).first()
+    size = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    rows, width = catalog.agg(F.count("*"), F.sum(size)).first()
     # shares of half the bound on average leave room for uneven ones
-    shares = 2 * max(-(-count // per_pass), -(-size // BYTES_PER_PASS))
-    share = F.pmod(F.xxhash64("app_name", "app_type", "regex"), F.lit(shares))
+    shares = 2 * max(-(-rows // per_pass), -(-width // BYTES_PER_PASS))
+    share = F.pmod(F.xxhash64("app_name", "evidence", "pattern"), F.lit(shares))
     path = work_dir(spark, "matches")
     for number in range(shares):
-        found = _match_rules(pages, rules.where(share == number), text, headers)
+        found = _match_rules(pages, catalog.where(share == number), text, headers)
         found.write.mode("append").parquet(path)
     return spark.read.parquet(path).distinct()
 
 
-def _match_rules(pages: DataFrame, rules: DataFrame, text: str, headers: str | None) -> DataFrame:
-    rows = [row.asDict() for row in rules.distinct().collect()]
-    body = [r for r in rows if r["app_type"] != "headers"]
-    certain = [r for r in body if r["literal"] is not None]
-    found = [_check(_array(r for r in body if r["literal"] is None), F.col(text))]
-    if len({r["literal"] for r in certain}) <= ONE_BY_ONE_MAX:
+def _rules(catalog: DataFrame) -> list[dict]:
+    """Patterns as they are run, with the texts they need. The caller has checked the size."""
+    pattern, is_header = F.col("pattern"), F.col("evidence") == "headers"
+    regex = F.when(is_header, patterns.header_regex(pattern)).otherwise(patterns.body_regex(pattern))
+    rows = catalog.select(
+        "app_name",
+        F.col("evidence").alias("app_type"),
+        "header_name",
+        regex.alias("regex"),
+        F.when(~is_header, patterns.required_texts(pattern)).alias("texts"),
+    ).collect()
+    return [row.asDict() for row in rows]
+
+
+def _match_rules(pages: DataFrame, catalog: DataFrame, text: str, headers: str | None) -> DataFrame:
+    rules = _rules(catalog)
+    body = [r for r in rules if r["app_type"] != "headers"]
+    certain = [r for r in body if r["texts"]]
+    found = [_check(_array(r for r in body if not r["texts"]), F.col(text))]
+    if len(certain) <= ONE_BY_ONE_MAX:
         found.append(_check(_array(certain), F.col(text), one_by_one=True))
     else:
         candidates = F.transform(
-            _literal_finder([r["literal"] for r in certain])(F.col(text)),
+            _text_finder([r["texts"] for r in certain])(F.col(text)),
             lambda position: F.get(_array(certain), position),
         )
         found.append(_check(candidates, F.col(text)))
     if headers is not None:
-        found.append(_check_headers([r for r in rows if r["app_type"] == "headers"], F.col(headers)))
+        found.append(_check_headers([r for r in rules if r["app_type"] == "headers"], F.col(headers)))
     evidence = F.array_distinct(F.concat(*(F.coalesce(f, F.array().cast(_FOUND)) for f in found)))
     kept = [c for c in pages.columns if c not in (text, headers)]
     return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
@@ -119,7 +123,9 @@ def _array(rules) -> Column:
 def _check(rules: Column, text: Column, one_by_one: bool = False) -> Column:
     def matches(rule: Column) -> Column:
         regex = F.rlike(text, rule["regex"])
-        return F.contains(text, rule["literal"]) & regex if one_by_one else regex
+        if not one_by_one:
+            return regex
+        return F.forall(rule["texts"], lambda part: F.contains(text, part)) & regex
 
     return _apps(F.filter(rules, matches))
 
@@ -144,27 +150,33 @@ def _apps(rules: Column) -> Column:
     )
 
 
-def _literal_finder(literals: list[str]) -> Callable[[Column], Column]:
-    """A function that gives the positions in ``literals`` of those a text contains."""
+def _text_finder(needed: list[list[str]]) -> Callable[[Column], Column]:
+    """A function that gives the positions in ``needed`` whose texts are all in a page."""
+    shared = Counter(text for texts in needed for text in texts)
+    # search for the text of a pattern that the fewest patterns share, look for the others after
+    keyed: dict[str, list[int]] = {}
+    for position, texts in enumerate(needed):
+        key = min(texts, key=lambda text: (shared[text], -len(text)))
+        keyed.setdefault(key, []).append(position)
 
     @F.pandas_udf("array<int>")
-    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def find(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        positions: dict[str, list[int]] = {}
-        for position, literal in enumerate(literals):
-            positions.setdefault(literal, []).append(position)
         search = ahocorasick.Automaton()
-        for literal, listed in positions.items():
-            search.add_word(literal, listed)
+        for key in keyed:
+            search.add_word(key, key)
         search.make_automaton()
 
-        def present(page: str | None) -> list[int]:
-            hits = search.iter(page) if page else ()
-            return sorted({position for _, listed in hits for position in listed})
+        def candidates(page: str | None) -> list[int]:
+            if not page:
+                return []
+            keys = {key for _, key in search.iter(page)}
+            positions = (position for key in keys for position in keyed[key])
+            return [p for p in positions if all(text in page for text in needed[p])]
 
-        for batch in texts:
-            yield batch.map(present)
+        for batch in pages:
+            yield batch.map(candidates)
 
     return find
 

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark.schemas import CRAWL_INDEX
 
-FORMATS = ("json", "parquet", "orc", "avro")
-
 
 def read_index(
     spark: SparkSession, root: str, crawls: Sequence[str], subset: str = "warc"
@@ -23,32 +21,23 @@ def read_index(
 def materialize(
     df: DataFrame, path: str, fmt: str = "json", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write a query result as a table of files; JSON is gzipped."""
-    fmt = fmt.lower()
-    if fmt not in FORMATS:
-        raise ValueError(f"unknown format {fmt!r}; expected one of {', '.join(FORMATS)}")
-    if fmt == "avro" and not _has_avro(df.sparkSession):
-        raise ValueError("format 'avro' needs the spark-avro package on the class path")
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
-    if fmt == "json":
-        writer = writer.option("compression", "gzip")
-    writer.format(fmt).save(path)
+    """Write a query result as files in any format of the session; JSON is gzipped.
+
+    Avro is one once the session has the spark-avro package; Spark says so where it has not.
+    """
+    _writer(df, fmt).partitionBy(*partition_by).save(path)
 
 
 def materialize_table(df: DataFrame, table: str, fmt: str = "json") -> None:
     """S7, into the session catalog."""
+    _writer(df, fmt).saveAsTable(table)
+
+
+def _writer(df: DataFrame, fmt: str) -> DataFrameWriter:
     writer = df.write.mode("overwrite").format(fmt.lower())
-    if fmt.lower() == "json":
-        writer = writer.option("compression", "gzip")
-    writer.saveAsTable(table)
+    return writer.option("compression", "gzip") if fmt.lower() == "json" else writer
 
 
 def storage_files(df: DataFrame) -> DataFrame:
     """The distinct files behind a table read from files."""
     return df.select(F.col("_metadata.file_path").alias("path")).distinct()
-
-
-def _has_avro(spark: SparkSession) -> bool:
-    name = "org.apache.spark.sql.avro.AvroFileFormat"
-    found = F.try_reflect(F.lit("java.lang.Class"), F.lit("forName"), F.lit(name))
-    return spark.range(1).select(found.isNotNull()).first()[0]

@@ -104,13 +104,26 @@ def count_per_domain(df: DataFrame) -> DataFrame:
 
 
 def selection_stats(df: DataFrame, cap: int) -> DataFrame:
-    """One row: URLs seen, skipped by the cap, returned as root pages, and the percentage."""
-    kept = cap_per_domain(df, cap)
+    """One row: URLs seen, skipped by the cap, returned as root pages, and the percentage.
+
+    The homepages, which the cap never drops, are counted together with all URLs.
+    """
     url = F.col("url")
+    home = urls.is_homepage(url)
     root = ~urls.is_robots_file(url) & ~urls.has_query(url) & urls.is_root_page(url)
-    seen = df.select(F.lit(1).alias("seen"), F.lit(0).alias("kept"), F.lit(0).alias("root"))
-    after = kept.select(F.lit(0).alias("seen"), F.lit(1).alias("kept"), root.cast("int").alias("root"))
-    counts = seen.unionByName(after).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in seen.columns))
+    everything = cap == 0
+    before = df.agg(
+        F.count("*").alias("seen"),
+        F.count_if(F.lit(everything) | home).alias("kept"),
+        F.count_if(F.lit(everything) & root | home & root).alias("root"),
+    )
+    others = first_per_domain(df, cap).where(~home)
+    after = others.agg(
+        F.lit(0).cast("long").alias("seen"),
+        F.count("*").alias("kept"),
+        F.count_if(root).alias("root"),
+    )
+    counts = before.unionByName(after).agg(*(F.sum(c).alias(c) for c in before.columns))
     return counts.select(
         F.col("seen").alias("urls_seen"),
         (F.col("seen") - F.col("kept")).alias("urls_skipped_same_domain"),

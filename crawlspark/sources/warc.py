@@ -10,6 +10,9 @@ from __future__ import annotations
 import io
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +24,8 @@ from crawlspark.schemas import ARCHIVE_RECORD
 
 # Records this close together are read by the same task, so a file opens once for them
 READ_CHUNK_BYTES = 64 * 1024 * 1024
+# Reads that a task has under way at a time
+READ_THREADS = 16
 # One task scans this much of an archive
 SPLIT_BYTES = 128 * 1024 * 1024
 # Rows go back to Spark once they hold this much
@@ -31,7 +36,10 @@ MEMBER_START = b"\x1f\x8b\x08"
 
 
 def read_records(
-    selected: DataFrame, base_uri: str, partitions: int | None = None
+    selected: DataFrame,
+    base_uri: str,
+    partitions: int | None = None,
+    threads: int = READ_THREADS,
 ) -> DataFrame:
     """Add ``payload`` and ``error`` to URLs with file, offset and length.
 
@@ -39,17 +47,13 @@ def read_records(
     cannot be read has a null payload and the reason in ``error``.
 
     The rows are small but each costs a read, so the number of tasks is set here and not derived
-    from the size of the rows. A file with very many rows is spread over tasks by offset.
+    from the size of the rows, and a task has several reads under way. A file with very many rows
+    is spread over tasks by offset.
     """
-    spark = selected.sparkSession
-    partitions = partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        4 * spark.sparkContext.defaultParallelism,
-    )
     chunk = F.floor(F.col("warc_record_offset") / READ_CHUNK_BYTES)
     placed = (
         selected.withColumn("_chunk", chunk)
-        .repartition(partitions, "warc_filename", "_chunk")
+        .repartition(partitions or io_tasks(selected), "warc_filename", "_chunk")
         .sortWithinPartitions("warc_filename", "warc_record_offset")
         .drop("_chunk")
     )
@@ -60,54 +64,55 @@ def read_records(
             T.StructField("error", T.StringType()),
         ]
     )
-    columns = selected.columns
+    columns = [*selected.columns, "payload", "error"]
     base = base_uri.rstrip("/")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, file = None, None
-        for batch in batches:
-            rows, size = [], 0
-            for row in batch.itertuples(index=False):
-                payload = error = None
-                try:
-                    if row.warc_filename != name:
-                        if file is not None:
-                            file.close()
-                        file = open_storage(f"{base}/{row.warc_filename}")
-                        name = row.warc_filename
-                    file.seek(int(row.warc_record_offset))
-                    member = file.read(int(row.warc_record_length))
-                    payload = record_content(unpack(member))[1]
-                except (OSError, ValueError, TypeError, zlib.error) as problem:
-                    error = f"{type(problem).__name__}: {problem}"
-                    if isinstance(problem, OSError):
-                        name = None
-                rows.append((*row, payload, error))
-                size += len(payload or b"")
-                if size >= YIELD_BYTES:
-                    yield pd.DataFrame(rows, columns=[*columns, "payload", "error"])
-                    rows, size = [], 0
-            yield pd.DataFrame(rows, columns=[*columns, "payload", "error"])
+        opened = lru_cache(maxsize=4)(lambda name: open_storage(f"{base}/{name}"))
+
+        def read(row: tuple) -> tuple:
+            try:
+                length, offset = int(row.warc_record_length), int(row.warc_record_offset)
+                member = opened(row.warc_filename).read_at(length, offset)
+                return (*row, record_content(unpack(member))[1], None)
+            except (OSError, ValueError, TypeError, zlib.error) as problem:
+                return (*row, None, f"{type(problem).__name__}: {problem}")
+
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                rows = batch.itertuples(index=False)
+                done, size = [], 0
+                while some := list(islice(rows, 2 * threads)):
+                    done += pool.map(read, some)
+                    size += sum(len(r[-2] or b"") for r in done[-len(some) :])
+                    if size >= YIELD_BYTES:
+                        yield pd.DataFrame(done, columns=columns)
+                        done, size = [], 0
+                yield pd.DataFrame(done, columns=columns)
 
     return placed.mapInPandas(fetch, schema)
 
 
-def scan_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def io_tasks(df: DataFrame) -> int:
+    """Number of tasks for work whose cost is not in the size of its input rows."""
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+
+
+def scan_archives(
+    files: DataFrame, split_bytes: int = SPLIT_BYTES, partitions: int | None = None
+) -> DataFrame:
     """All records of the archives listed with ``path`` and ``length``.
 
     An archive is cut into ranges that separate tasks read; a record belongs to the range that its
     first byte is in. Members that cannot be unpacked give a row with ``error``, and reading goes on
     at the next one.
     """
-    spark = files.sparkSession
     starts = F.sequence(
         F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long")
     )
     ranges = files.where(F.col("length") > 0).select("path", F.explode(starts).alias("start"))
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        4 * spark.sparkContext.defaultParallelism,
-    )
     names = ARCHIVE_RECORD.fieldNames()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,6 +129,7 @@ def scan_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
+    tasks = partitions or io_tasks(files)
     return ranges.repartition(tasks, "path", "start").mapInPandas(scan, ARCHIVE_RECORD)
 
 

@@ -1,0 +1,90 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawlspark.plans import jobs
+from crawlspark.schemas import CRAWL_INDEX, HOST_ROLLUP
+from crawlspark.sources.catalog import catalog_rows
+from crawlspark.sources.url_files import read_selected
+from test_warc import member
+
+CATALOG = [
+    ("WP", "html", None, "wp-content"),
+    ("Track", "scripts", None, r"track\(\d\)"),
+    ("nginx", "headers", "Server", "nginx"),
+    ("Status", "html", None, "HTTP/1.1 200"),
+]
+
+
+@pytest.fixture
+def crawl(spark, tmp_path):
+    """An index and an archive of six pages of two hosts."""
+    pages = [
+        ("https://www.a.com/", "wp-content"),
+        ("https://a.com/1", "track(1)"),
+        ("https://a.com/2", "nothing"),
+        ("https://a.com/x/y", "wp-content"),
+        ("https://b.com/robots.txt", "wp-content"),
+        ("https://b.com/", "plain"),
+    ]
+    (tmp_path / "archive").mkdir()
+    rows, at, data = [], 0, b""
+    for url, body in pages:
+        part = member(url, f"HTTP/1.1 200 OK\r\nServer: nginx/1\r\n\r\n{body}".encode())
+        path = "/" + url.split("/", 3)[3]
+        host = url.split("/")[2]
+        rows.append((url, path, None, host, host.removeprefix("www."), "f.gz", at, len(part), "CC-MAIN-2020-40", "warc"))
+        at, data = at + len(part), data + part
+    (tmp_path / "archive" / "f.gz").write_bytes(data)
+    index = spark.createDataFrame(rows, CRAWL_INDEX)
+    index.write.partitionBy("crawl", "subset").parquet(str(tmp_path / "index"))
+    return tmp_path
+
+
+def test_from_index_to_hosts(spark, crawl):
+    jobs.index_selection(spark, str(crawl / "index"), ["CC-MAIN-2020-40"], str(crawl / "selected"))
+    selected = read_selected(spark, str(crawl / "selected"))
+    assert selected.count() == 5
+    assert jobs.root_page_count(spark, str(crawl / "selected")).collect() == [("CC-MAIN-2020-40", 4)]
+
+    broken = selected.limit(1).select("url", F.lit("no.gz").alias("warc_filename"), "warc_record_offset", "warc_record_length", "crawl")
+    broken = broken.withColumn("url", F.lit("https://c.com/"))
+    counters = jobs.technology_scan(
+        selected.unionByName(broken), f"file://{crawl}/archive", catalog_rows(spark, CATALOG),
+        str(crawl / "out"), process_epoch=9,
+    )
+    assert counters.get == {"rows": 5, "failed": 1}
+    rows = {r.fqdn_no_www: r for r in spark.read.schema(HOST_ROLLUP).json(str(crawl / "out")).collect()}
+    assert rows.keys() == {"a.com", "b.com"}
+    pairs = [tuple(p) for p in rows["a.com"].name_type_list]
+    assert pairs == [("Track", "scripts"), ("WP", "html"), ("nginx", "headers")]
+    assert rows["a.com"].seen_time_epoch == 1602374400
+    line = json.loads(next((crawl / "out").glob("part-*")).read_text().splitlines()[0])
+    assert line["process_time_epoch"] == 9
+
+
+def test_scan_scope(spark, crawl):
+    index = spark.read.parquet(str(crawl / "index")).drop("subset")
+    selected = index.select("url", "warc_filename", "warc_record_offset", "warc_record_length", "crawl")
+
+    def apps(scope):
+        facts, _ = jobs.technology_facts(
+            selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG), cap=0, scan_scope=scope
+        )
+        return {r.app_name for r in facts.collect()}
+
+    assert apps("full") - apps("body") == {"Status"}
+    with pytest.raises(ValueError, match="scan scope"):
+        apps("head")
+
+
+def test_pages_are_fetched_once(spark, crawl, plan):
+    selected = spark.read.parquet(str(crawl / "index")).drop("subset")
+    facts, _ = jobs.technology_facts(selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG))
+    assert plan(facts).count("MapInPandas") == 1
+
+
+def test_email_scan(spark):
+    pages = spark.createDataFrame([("https://www.a.com", "x@y.zz x@y.zz")], "url string, html string")
+    assert jobs.email_scan(pages).collect() == [("a.com", "x@y.zz")]

@@ -95,3 +95,9 @@ def test_stats(spark):
     assert (row.urls_returned, row.returned_percent) == (len(root), 100.0 * len(root) / 3000)
     empty = select_urls.selection_stats(frame(spark, urls).limit(0), 3).first()
     assert tuple(empty) == (0, 0, 0, None)
+
+
+def test_stats_without_cap(spark):
+    urls = ["https://a.com", "https://a.com/x/y", "https://a.com/x", "https://a.com/?q"]
+    row = select_urls.selection_stats(frame(spark, urls), 0).first()
+    assert tuple(row) == (4, 0, 2, 50.0)

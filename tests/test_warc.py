@@ -1,0 +1,97 @@
+import gzip
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawlspark.sources import warc
+from crawlspark.sources.url_files import list_files
+
+
+def record(url, payload, kind="response", length=None):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(payload) if length is None else length}\r\n\r\n"
+    return head.encode() + payload + b"\r\n\r\n"
+
+
+def member(url, payload, level=6, **more):
+    return gzip.compress(record(url, payload, **more), compresslevel=level, mtime=0)
+
+
+@pytest.fixture
+def archive(tmp_path):
+    """Members, some of them broken; stored ones hold bytes that look like the start of a member."""
+    source = random.Random(2)
+    fake = b"\x1f\x8b\x08" + source.randbytes(40) + gzip.compress(b"WARC? no")
+    pages = [b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + source.randbytes(3000 * (i % 7)) + fake * (i % 3) for i in range(40)]
+    parts = [member("info", b"x", kind="warcinfo")]
+    parts += [member(f"u{i}", p, level=i % 2 * 6) for i, p in enumerate(pages)]
+    parts.append(gzip.compress(b"no archive record"))
+    parts.append(b"\x1f\x8b\x08 not gzip at all")
+    parts.append(member("last", b"HTTP/1.0 404 Not Found\r\n\r\n"))
+    parts.append(member("cut", b"y" * 5000)[:60])
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(parts))
+    offsets, at = [], 0
+    for part in parts:
+        offsets.append((at, len(part)))
+        at += len(part)
+    return tmp_path, pages, offsets
+
+
+@pytest.mark.parametrize("split", [1 << 40, 100_000, 4_096, 700])
+def test_scan(spark, archive, split):
+    root, pages, offsets = archive
+    files = list_files(spark, str(root))
+    rows = sorted(warc.scan_archives(files, split).collect(), key=lambda r: r.record_offset)
+    good = [r for r in rows if r.error is None]
+    assert [r.target_uri for r in good] == ["info", *(f"u{i}" for i in range(40)), "last"]
+    assert [bytes(r.payload) for r in good[1:-1]] == pages
+    assert [r.record_offset for r in good] == [o for o, _ in (*offsets[:41], offsets[43])]
+    assert (good[0].http_status, good[1].http_status, good[-1].http_status) == (None, 200, 404)
+    if split == 1 << 40:
+        assert [r.record_offset for r in rows if r.error] == [offsets[41][0], offsets[42][0], offsets[44][0]]
+
+
+SCHEMA = "url string, warc_filename string, warc_record_offset long, warc_record_length long, crawl string"
+
+
+def test_read(spark, archive):
+    root, pages, offsets = archive
+    rows = [(f"u{i}", "a.warc.gz", *offsets[i + 1], "C") for i in range(40)]
+    rows += [
+        ("short", "a.warc.gz", offsets[1][0], offsets[1][1] - 5, "C"),
+        ("plain", "a.warc.gz", *offsets[41], "C"),
+        ("bad", "a.warc.gz", *offsets[42], "C"),
+        ("cut", "a.warc.gz", *offsets[44], "C"),
+        ("missing", "b.warc.gz", 0, 10, "C"),
+        ("null", "a.warc.gz", None, None, "C"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    records = warc.read_records(df, f"file://{root}", partitions=3)
+    got = {r.url: r for r in records.collect()}
+    assert len(got) == len(rows)
+    assert [bytes(got[f"u{i}"].payload) for i in range(40)] == pages
+    assert all(got[f"u{i}"].error is None for i in range(40))
+    failed = {r.url for r in warc.failed_records(records).collect()}
+    assert failed == {"short", "plain", "bad", "cut", "missing", "null"}
+    assert warc.page_texts(records).count() == 40
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, monkeypatch, archive):
+    root, _, offsets = archive
+    monkeypatch.setattr(warc, "READ_CHUNK_BYTES", 10_000)
+    df = spark.createDataFrame([(f"u{i}", "a.warc.gz", *offsets[i + 1], "C") for i in range(40)], SCHEMA)
+    records = warc.read_records(df, f"file://{root}", partitions=8)
+    assert records.select(F.spark_partition_id()).distinct().count() > 3
+
+
+def test_text_of_both_encodings(spark, tmp_path):
+    parts = [member("a", "é".encode()), member("b", b"\xe9\xff")]
+    (tmp_path / "a.gz").write_bytes(b"".join(parts))
+    rows = [("a", "a.gz", 0, len(parts[0]), "C"), ("b", "a.gz", len(parts[0]), len(parts[1]), "C")]
+    records = warc.read_records(spark.createDataFrame(rows, SCHEMA), f"file://{tmp_path}")
+    assert {r.url: r.text for r in warc.page_texts(records).collect()} == {"a": "é", "b": "éÿ"}
+
+
+def test_content_shorter_than_its_length():
+    with pytest.raises(ValueError, match="truncated"):
+        warc.record_content(record("u", b"abc", length=50))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions.urls import host_no_www
 from crawlspark.plans.sample_catalog import SAMPLE_CATALOG
-from crawlspark.runtime import qualified, work_dir
+from crawlspark.runtime import qualified, spread, work_dir
 from crawlspark.sources import catalog
 
 CRAWLS = ("CC-MAIN-2020-45", "CC-MAIN-2020-50")
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages_to_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages for work that reads their whole text."""
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def sample_catalog(spark: SparkSession) -> DataFrame:
     text = spark.range(1).select(F.lit(SAMPLE_CATALOG).alias("text"))
     return catalog.valid_patterns(catalog.explode_apps(catalog.parse_apps(text, "text")))
@@ -105,7 +110,7 @@ def http_payload() -> list:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as an HTTP response, head and body."""
-    pages = table(spark, sf_dir, "pages")
+    pages = pages_to_search(spark, sf_dir)
     return pages.select("page_id", "url", "html", F.concat(*http_payload()).alias("response"))
 
 
@@ -173,7 +178,7 @@ def archived_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 def archived_candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     """The same for all five URLs of every page."""
     root = work_dir(spark, "archives")
-    pages = table(spark, sf_dir, "pages")
+    pages = pages_to_search(spark, sf_dir)
     records = as_selected(with_variants(pages, "html"), "html").select(
         "page_id",
         "url",

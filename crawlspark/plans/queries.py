@@ -345,21 +345,21 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.TECH_HTML)
 def tech_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1, A3."""
-    pages = table(spark, sf_dir, "pages")
+    pages = derived.pages_to_search(spark, sf_dir)
     return match.match_pages(pages, derived.sample_catalog(spark), kinds=["html"])
 
 
 @query(oracle.TECH_SCRIPTS)
 def tech_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2, A3."""
-    pages = table(spark, sf_dir, "pages")
+    pages = derived.pages_to_search(spark, sf_dir)
     return match.match_pages(pages, derived.sample_catalog(spark), kinds=["scripts"])
 
 
 @query(oracle.TECH_MANY_SIGNATURES)
 def tech_many_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1, J2 with a large catalog: the links and the track numbers of all pages."""
-    pages = table(spark, sf_dir, "pages")
+    pages = derived.pages_to_search(spark, sf_dir)
     links = F.regexp_extract_all("html", F.lit(r'<a href="/([^"]+)">'), F.lit(1))
     numbers = F.regexp_extract_all("html", F.lit(r"track\((\d+)\)"), F.lit(1))
     quoted = F.regexp_replace("word", r"([.^$|?*+(){}\[\]\\])", r"\\$1")
@@ -437,9 +437,8 @@ def evidence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1."""
     technologies = match.technology_extractor(derived.sample_catalog(spark))
-    return match.extract(
-        table(spark, sf_dir, "pages"), [technologies, match.email_extractor()]
-    )
+    pages = derived.pages_to_search(spark, sf_dir)
+    return match.extract(pages, [technologies, match.email_extractor()])
 
 
 @query(oracle.TECH_BY_HOST)

@@ -55,3 +55,13 @@ def fits_in_memory(
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it is small; beyond that leave the join to the optimizer."""
     return F.broadcast(df) if fits_in_memory(df, max_rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a scan that has fewer splits than the session has cores.
+
+    For work that costs more than moving its rows. Such a scan is small: the splits of a large one
+    outnumber the cores, and it is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -3,10 +3,15 @@ r"""Functions over signature patterns, run on the catalog and never on pages (F8
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# For required_texts: special characters, stand-ins for them, and a mark for what is cut out
+# Stand-ins for escaped special characters, for brackets that are done with, and a mark for what
+# is cut out
 _SPECIAL = "\\.[]{}()^$|?*+"
 _SAFE = "".join(chr(0xE000 + i) for i in range(len(_SPECIAL)))
-_GAP = "\u0001"
+_OPEN, _CLOSE, _BAR, _GAP = "\uE0F0", "\uE0F1", "\uE0F2", "\uE0F3"
+_STAND_INS = f"[{_SAFE}{_OPEN}{_CLOSE}{_BAR}{_GAP}]"
+
+# Group depth that alternatives and required_texts see through
+_DEPTH = 4
 
 BODY_FLAGS = "(?sm)"
 HEADER_FLAGS = "(?si)"
@@ -55,6 +60,25 @@ def as_list(value: Column) -> Column:
     )
 
 
+def alternatives(pattern: Column) -> Column:
+    """Patterns that together match where ``pattern`` does: its alternatives at the top level.
+
+    Each has required texts of its own, which the whole has not. A pattern that is safer in one
+    piece, as with flags or references to groups, comes back alone.
+    """
+    hidden = _hide_escapes(F.regexp_replace(pattern, r"^\(\?:([^()\\\[]*)\)$", "$1"))
+    for _ in range(_DEPTH):
+        hidden = F.regexp_replace(hidden, r"\|(?=[^()]*\))", _BAR)
+        hidden = F.regexp_replace(hidden, r"\(([^()]*)\)", f"{_OPEN}$1{_CLOSE}")
+    whole = (
+        pattern.rlike(_STAND_INS)
+        | pattern.rlike(r"\(\?-?[a-zA-Z]|\\[QEk1-9]|&&|\[[^\]]*[()|\[]")
+        | hidden.rlike(r"[()]")
+    )
+    parts = F.transform(F.split(hidden, r"\|"), _show_escapes)
+    return F.when(whole, F.array(pattern)).otherwise(parts)
+
+
 def required_texts(pattern: Column) -> Column:
     """Texts of three and more characters that every match of ``pattern`` contains, all of them.
 
@@ -62,22 +86,33 @@ def required_texts(pattern: Column) -> Column:
     quantifier follows. Null if no such text is certain, as with alternatives at the top level,
     flags and quoting.
     """
-    # escaped special characters stand for themselves: kept safe while the others are cut out
-    paired = F.regexp_replace(pattern, r"\\\\", _SAFE[0])
-    left = paired
-    for special, safe in zip(_SPECIAL[1:], _SAFE[1:]):
-        left = F.replace(left, F.lit("\\" + special), F.lit(safe))
-    left = F.regexp_replace(left, r"\\([^a-zA-Z0-9])", "$1")
+    hidden = _hide_escapes(pattern)
+    left = F.regexp_replace(hidden, r"\\([^a-zA-Z0-9])", "$1")
     left = F.regexp_replace(left, r"\\[pP](?:\{[^}]*\}|.)|\\k<[^>]*>|\\\d+|\\.", _GAP)
     left = F.regexp_replace(left, r"\[\^?\]?[^\]\[]*\]", _GAP)
-    for _ in range(4):
+    for _ in range(_DEPTH):
         left = F.regexp_replace(left, r"\([^()]*\)", _GAP)
     left = F.regexp_replace(left, r"(?s).[?*][?+]?|.\{[^}]*\}[?+]?", _GAP)
     runs = F.filter(F.split(left, rf"[{_GAP}.^$+]"), lambda run: F.length(run) >= 3)
     texts = F.array_distinct(F.transform(runs, lambda run: F.translate(run, _SAFE, _SPECIAL)))
     unsure = (
-        pattern.rlike(f"[{_GAP}{_SAFE}]")
-        | paired.rlike(r"\(\?-?[a-zA-Z]|\\[QExu0cN]|&&")
+        pattern.rlike(_STAND_INS)
+        | hidden.rlike(r"\(\?-?[a-zA-Z]|\\[QExu0cN]|&&")
         | left.rlike(r"[|()\[\]{}\\]")
     )
     return F.when(~unsure & (F.size(texts) > 0), texts)
+
+
+def _hide_escapes(pattern: Column) -> Column:
+    """Escaped special characters, which stand for themselves, as their stand-ins."""
+    hidden = F.regexp_replace(pattern, r"\\\\", _SAFE[0])
+    for special, safe in zip(_SPECIAL[1:], _SAFE[1:]):
+        hidden = F.replace(hidden, F.lit("\\" + special), F.lit(safe))
+    return hidden
+
+
+def _show_escapes(hidden: Column) -> Column:
+    shown = F.translate(hidden, _OPEN + _CLOSE + _BAR, "()|")
+    for special, safe in zip(_SPECIAL, _SAFE):
+        shown = F.replace(shown, F.lit(safe), F.lit("\\" + special))
+    return shown

@@ -83,9 +83,11 @@ def _match_in_passes(
 
 def _rules(catalog: DataFrame) -> list[dict]:
     """Patterns as they are run, with the texts they need. The caller has checked the size."""
-    pattern, is_header = F.col("pattern"), F.col("evidence") == "headers"
+    is_header, pattern = F.col("evidence") == "headers", F.col("pattern")
+    parts = F.when(is_header, F.array(pattern)).otherwise(patterns.alternatives(pattern))
+    rules = catalog.withColumn("pattern", F.explode(parts))
     regex = F.when(is_header, patterns.header_regex(pattern)).otherwise(patterns.body_regex(pattern))
-    rows = catalog.select(
+    rows = rules.select(
         "app_name",
         F.col("evidence").alias("app_type"),
         "header_name",

@@ -137,10 +137,10 @@ def storage_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.INCREMENTAL_PICKUP)
 def incremental_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the rows of files that are not done; those of the first crawl are."""
-    rows = url_files.read_selected(spark, _materialized(spark, sf_dir))
-    files = crawl_index.storage_files(rows)
-    done = files.where(F.contains("path", F.lit(f"crawl_id={derived.CRAWLS[0]}/")))
-    return url_files.from_unseen_files(rows, done)
+    root, done = _materialized(spark, sf_dir), work_dir(spark, "done")
+    files = url_files.list_files(spark, root)
+    url_files.mark_done(files.where(F.contains("path", F.lit(derived.CRAWLS[0]))), done)
+    return url_files.read_unseen(spark, root, url_files.read_done(spark, done))
 
 
 def _materialized(spark: SparkSession, sf_dir: str) -> str:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlspark.schemas import SELECTED_URL
+from crawlspark.schemas import DONE_FILES, SELECTED_URL
 
 ROWS_PER_FILE = 1_500_000
 CORRUPT = "_corrupt"
 
 
-def read_selected(spark: SparkSession, root: str, keep_corrupt: bool = False) -> DataFrame:
+def read_selected(
+    spark: SparkSession, root: str | list[str], keep_corrupt: bool = False
+) -> DataFrame:
     """All ``*.gz`` JSON-lines files below ``root``, at any depth.
 
     A line that is no JSON object gives a row of nulls; with ``keep_corrupt`` its text is kept.
@@ -45,13 +46,23 @@ def unseen_files(files: DataFrame, done: DataFrame) -> DataFrame:
     return files.join(done.select("path"), "path", "left_anti")
 
 
-def from_unseen_files(rows: DataFrame, done: DataFrame) -> DataFrame:
-    """S4 in batch: rows of the files that are not in the done table.
+def read_unseen(spark: SparkSession, root: str, done: DataFrame) -> DataFrame:
+    """S4 in batch: the files below ``root`` that the done table does not list, and no others.
 
-    The done paths are spelled as ``storage_files`` gives them.
+    Only paths pass through the driver, where Spark keeps the listing of any scan.
     """
-    tagged = rows.select("*", F.col("_metadata.file_path").alias("path"))
-    return unseen_files(tagged, done).drop("path")
+    todo = [row.path for row in unseen_files(list_files(spark, root), done).toLocalIterator()]
+    return read_selected(spark, todo) if todo else spark.createDataFrame([], SELECTED_URL)
+
+
+def mark_done(files: DataFrame, done_path: str) -> None:
+    """Add files, as ``list_files`` gives them, to the done table."""
+    files.select("path").write.mode("append").json(done_path)
+
+
+def read_done(spark: SparkSession, done_path: str) -> DataFrame:
+    """M11."""
+    return spark.read.schema(DONE_FILES).json(done_path)
 
 
 def write_rolled(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:

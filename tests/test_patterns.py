@@ -83,6 +83,28 @@ def test_required_texts(spark, pattern, texts):
     assert value(spark, pattern, patterns.required_texts) == texts
 
 
+@pytest.mark.parametrize(
+    "pattern, parts",
+    [
+        ("abc", ["abc"]),
+        ("abc|def", ["abc", "def"]),
+        ("(?:abc|def)", ["abc", "def"]),
+        ("(?:a|b)c|d(e|(f|g))\\|h", ["(?:a|b)c", "d(e|(f|g))\\|h"]),
+        ("(a|b)", ["(a|b)"]),
+        ("a||b|", ["a", "", "b", ""]),
+        (r"a\\|b\(|c", [r"a\\", r"b\(", "c"]),
+        ("(?i)a|b", ["(?i)a|b"]),
+        (r"(a)\1|b", [r"(a)\1|b"]),
+        ("[(|]a|b", ["[(|]a|b"]),
+        ("[^x]a|b", ["[^x]a", "b"]),
+        ("(?:a)(?:b|c)|d", ["(?:a)(?:b|c)", "d"]),
+        ("((((((a|b))))))|c", ["((((((a|b))))))|c"]),
+    ],
+)
+def test_alternatives(spark, pattern, parts):
+    assert value(spark, pattern, patterns.alternatives) == parts
+
+
 def test_required_texts_are_in_every_match(spark):
     """Against generated patterns: a text that matches always holds the texts."""
     import itertools
@@ -94,11 +116,18 @@ def test_required_texts_are_in_every_match(spark):
     texts = ["".join(source.choices("abcxyz.(", k=source.randint(1, 14))) for _ in range(300)]
     texts += ["".join(t) for t in itertools.product(["abc", "xyz", "ab", "zz", ".", "("], repeat=3)]
     rules = spark.createDataFrame([(m,) for m in sorted(made)], "p string")
-    rules = rules.where(patterns.is_valid(F.col("p"))).select("p", patterns.required_texts(F.col("p")).alias("texts"))
+    rules = rules.where(patterns.is_valid(F.col("p")))
+    pages = spark.createDataFrame([(texts,)], "t array<string>")
+    every = rules.join(F.broadcast(pages)).select("p", F.explode("t").alias("t"))
+    parts = F.exists(
+        patterns.alternatives(F.col("p")), lambda part: F.rlike(F.col("t"), patterns.body_regex(part))
+    )
+    assert every.where(parts != F.rlike("t", patterns.body_regex(F.col("p")))).collect() == []
+
+    rules = rules.select("p", patterns.required_texts(F.col("p")).alias("texts"))
     known = [(r.p, r.texts) for r in rules.collect() if r.texts]
     assert len(known) > 100
     rules = spark.createDataFrame(known, "p string, texts array<string>")
-    pages = spark.createDataFrame([(texts,)], "t array<string>")
     pairs = rules.join(F.broadcast(pages)).select("p", "texts", F.explode("t").alias("t"))
     matching = pairs.where(F.rlike("t", patterns.body_regex(F.col("p"))))
     missed = matching.where(F.exists("texts", lambda x: ~F.contains(F.col("t"), x)))

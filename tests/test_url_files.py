@@ -3,7 +3,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from crawlspark.sources import crawl_index, url_files
+from crawlspark.schemas import SELECTED_URL
+from crawlspark.sources import url_files
 
 
 def write(path, *lines):
@@ -31,13 +32,18 @@ def test_nested_files(spark, tmp_path):
 
 
 def test_unseen(spark, tmp_path):
-    write(tmp_path / "x.gz", line("u1"))
-    write(tmp_path / "y.gz", line("u2"))
-    rows = url_files.read_selected(spark, str(tmp_path))
-    files = crawl_index.storage_files(rows)
-    done = files.where(F.endswith("path", F.lit("x.gz")))
-    assert [r.url for r in url_files.from_unseen_files(rows, done).collect()] == ["u2"]
-    assert url_files.unseen_files(files, files).count() == 0
+    root, done = tmp_path / "in", str(tmp_path / "done")
+    write(root / "x.gz", line("u1"))
+    write(root / "deep" / "y.gz", line("u2"))
+
+    files = url_files.list_files(spark, str(root))
+    url_files.mark_done(files.where(F.endswith("path", F.lit("x.gz"))), done)
+    rows = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    assert [r.url for r in rows.collect()] == ["u2"]
+
+    url_files.mark_done(url_files.unseen_files(files, url_files.read_done(spark, done)), done)
+    rows = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    assert rows.collect() == [] and rows.schema == SELECTED_URL
 
 
 def test_rolled_sink(spark, tmp_path):

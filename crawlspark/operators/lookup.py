@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlspark.functions.crawls import crawl_epoch
+from crawlspark.functions.crawls import CALENDAR_WEEKS, crawl_epoch
 from crawlspark.runtime import broadcast_if_small, fits_in_memory, work_dir
 
 
 def crawl_calendar(crawls: DataFrame) -> DataFrame:
     """``crawl`` to ``epoch`` for the distinct ids of ``crawls``."""
-    return crawls.select("crawl").distinct().select("crawl", crawl_epoch(F.col("crawl")).alias("epoch"))
+    ids = crawls.select("crawl").distinct()
+    return ids.withColumn("epoch", crawl_epoch(F.col("crawl")))
+
+
+def listed_crawls(spark: SparkSession) -> DataFrame:
+    """The calendar of the crawls from 2014 to 2020."""
+    ids = [(f"CC-MAIN-{y}-{w:02d}",) for y, weeks in CALENDAR_WEEKS.items() for w in weeks]
+    return crawl_calendar(spark.createDataFrame(ids, "crawl string"))
 
 
 def with_crawl_epoch(
@@ -65,7 +72,8 @@ def _dense_ids_distributed(df: DataFrame, order: str, name: str) -> DataFrame:
     # one row per part, so this window is as small as the number of tasks
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = written.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = parts.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    rows_before = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    offsets = parts.select("_part", rows_before.alias("_before"))
     return (
         written.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_position") + 1)

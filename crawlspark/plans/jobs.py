@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from crawlspark.functions.payload import http_body, http_headers
 from crawlspark.operators.emails import emails_by_host
@@ -20,6 +21,7 @@ from crawlspark.operators.select_urls import (
 from crawlspark.sources.crawl_index import materialize, read_index
 from crawlspark.sources.url_files import read_selected, write_rolled
 from crawlspark.sources.warc import page_texts, read_records
+from crawlspark.streaming.url_stream import stream_cap_per_domain
 
 DEFAULT_CAP = 3
 
@@ -34,29 +36,31 @@ def index_selection(
 
 
 def technology_facts(
-    selected: DataFrame,
+    wanted: DataFrame,
     archive_uri: str,
     catalog: DataFrame,
-    cap: int = DEFAULT_CAP,
     process_epoch: int | None = None,
     scan_scope: str = "body",
     partitions: int | None = None,
 ) -> tuple[DataFrame, Observation]:
-    """B2 up to the match facts: cap, root pages, fetch, decode, match.
+    """The technologies of selected URLs: fetch, decode, match.
 
-    The cap and the root filter come before the fetch, the expensive step, and each page is fetched
-    and read once for all kinds of evidence. ``scan_scope`` is ``body`` or ``full`` (HTTP head and
-    body, Q20). The observation counts fetched and failed records while the result is used.
+    Each page is fetched and read once for all kinds of evidence. ``scan_scope`` is ``body`` or
+    ``full`` (HTTP head and body, Q20). The observation counts fetched and failed records while
+    the result is used.
     """
     if scan_scope not in ("body", "full"):
         raise ValueError(f"unknown scan scope {scan_scope!r}; expected body or full")
-    wanted = root_pages(cap_per_domain(selected, cap))
     fetched, counters = observed(
         read_records(wanted, archive_uri, partitions), failed=F.col("error").isNotNull()
     )
-    texts = page_texts(fetched)
-    body: Column = http_body(F.col("text")) if scan_scope == "body" else F.col("text")
-    pages = texts.select("url", "crawl", body.alias("html"), http_headers(F.col("text")).alias("headers"))
+    text = F.col("text")
+    pages = page_texts(fetched).select(
+        "url",
+        "crawl",
+        (http_body(text) if scan_scope == "body" else text).alias("html"),
+        http_headers(text).alias("headers"),
+    )
     return to_facts(match_pages(pages, catalog, headers="headers"), process_epoch), counters
 
 
@@ -65,14 +69,47 @@ def technology_scan(
     archive_uri: str,
     catalog: DataFrame,
     out: str,
+    cap: int = DEFAULT_CAP,
     **options,
 ) -> Observation:
-    """B2: the technologies of every host of a crawl as JSON lines."""
-    facts, counters = technology_facts(selected, archive_uri, catalog, **options)
+    """B2: the technologies of every host of a crawl as JSON lines.
+
+    The cap and the root filter come before the fetch, which is the expensive step.
+    """
+    wanted = root_pages(cap_per_domain(selected, cap))
+    facts, counters = technology_facts(wanted, archive_uri, catalog, **options)
     write_rolled(rollup_hosts(facts), out)
     return counters
 
 
+def technology_stream(
+    selected: DataFrame,
+    archive_uri: str,
+    catalog: DataFrame,
+    out: str,
+    checkpoint: str,
+    cap: int = DEFAULT_CAP,
+    **options,
+) -> StreamingQuery:
+    """B2 over a stream of selected URLs (T1, T4): match facts as JSON lines.
+
+    A trigger writes to a folder of its own and replaces it if it runs again, so every fact is
+    written once. The host rows are ``rollup_hosts`` of the facts.
+    """
+
+    def scan(wanted: DataFrame, number: int) -> None:
+        facts, _ = technology_facts(wanted, archive_uri, catalog, **options)
+        facts.write.mode("overwrite").json(f"{out}/trigger={number}")
+
+    return (
+        root_pages(stream_cap_per_domain(selected, cap))
+        .writeStream.foreachBatch(scan)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def root_page_count(spark: SparkSession, selected_root: str) -> DataFrame:
     """B3."""
     return count_root_pages(read_selected(spark, selected_root))

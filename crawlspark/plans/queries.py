@@ -601,6 +601,26 @@ def stream_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(select_urls.root_pages(capped).select("page_id", "variant", "url"))
 
 
+@query(oracle.TECHNOLOGY_SCAN_JOB)
+def stream_technology_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 as a stream, then A1."""
+    index, uri = derived.archived_candidates(spark, sf_dir)
+    root, out = work_dir(spark, "selected"), work_dir(spark, "facts")
+    crawl_index.materialize(index.select(*select_urls.URL_COLUMNS), root)
+    running = jobs.technology_stream(
+        url_stream.stream_selected(spark, root),
+        uri,
+        derived.sample_catalog(spark),
+        out,
+        f"{out}-checkpoint",
+        cap=CAP,
+        process_epoch=PROCESS_EPOCH,
+    )
+    running.awaitTermination()
+    rolled = rollup.rollup_hosts(spark.read.schema(MATCH_FACT).json(out))
+    return rolled.withColumn("name_type_list", _joined("name_type_list"))
+
+
 @query(oracle.HOST_APP_TYPES)
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Within one crawl, whose facts share an event time, complete."""
@@ -627,7 +647,6 @@ def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("app_name"),
         F.timestamp_micros(epoch).alias("seen_ts"),
     )
-    assert set(MATCH_FACT.fieldNames()) < set(events.columns)
     held = fact_stream.stream_host_rollup(events, hold="1 day")
     return _run(
         held.select(

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+# Scans of up to this many splits may be moved to use all cores
+SPREAD_MAX_SPLITS = 16
+
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that the cluster shares (``spark.checkpoint.dir``).
@@ -58,10 +61,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a scan that has fewer splits than the session has cores.
+    """Give every core a part of a small scan that has fewer splits than the session has cores.
 
-    For work that costs more than moving its rows. Such a scan is small: the splits of a large one
-    outnumber the cores, and it is left as it is.
+    For work that costs more than moving its rows. Scans of more than a few splits stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores and splits <= SPREAD_MAX_SPLITS else df

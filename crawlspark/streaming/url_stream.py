@@ -17,18 +17,25 @@ SPILL_GROUPS = 64
 
 
 def stream_selected(
-    spark: SparkSession, root: str, files_per_trigger: int = 1000
+    spark: SparkSession,
+    root: str,
+    files_per_trigger: int = 1000,
+    bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """The gzipped JSON-lines files below ``root`` as a stream.
 
     The checkpoint of the query that consumes it records which files are done, and a finished set
-    of files is read to its end with ``trigger(availableNow=True)``.
+    of files is read to its end with ``trigger(availableNow=True)``. A trigger takes in a number
+    of files, or, if given, a number of bytes such as ``"10g"``.
     """
+    limit = ("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        limit = ("maxBytesPerTrigger", bytes_per_trigger)
     return (
         spark.readStream.schema(SELECTED_URL)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.gz")
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option(*limit)
         .json(root)
     )
 
@@ -78,7 +85,5 @@ def stream_cap_per_domain(stream: DataFrame, cap: int) -> DataFrame:
     return (
         keyed.mapInPandas(thin, keyed.schema)
         .groupBy("_host", "_group")
-        .applyInPandasWithState(
-            count, schema, "pages long", "append", GroupStateTimeout.NoTimeout
-        )
+        .applyInPandasWithState(count, schema, "pages long", "append", GroupStateTimeout.NoTimeout)
     )

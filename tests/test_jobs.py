@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlspark.plans import jobs
-from crawlspark.schemas import CRAWL_INDEX, HOST_ROLLUP
+from crawlspark.schemas import CRAWL_INDEX, HOST_ROLLUP, MATCH_FACT
 from crawlspark.sources.catalog import catalog_rows
 from crawlspark.sources.url_files import read_selected
+from crawlspark.streaming.url_stream import stream_selected
 from test_warc import member
 
 CATALOG = [
@@ -70,7 +71,7 @@ def test_scan_scope(spark, crawl):
 
     def apps(scope):
         facts, _ = jobs.technology_facts(
-            selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG), cap=0, scan_scope=scope
+            selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG), scan_scope=scope
         )
         return {r.app_name for r in facts.collect()}
 
@@ -85,6 +86,23 @@ def test_pages_are_fetched_once(spark, crawl, plan):
     assert plan(facts).count("MapInPandas") == 1
 
 
+def test_stream(spark, crawl):
+    jobs.index_selection(spark, str(crawl / "index"), ["CC-MAIN-2020-40"], str(crawl / "selected"))
+
+    def scan():
+        stream = stream_selected(spark, str(crawl / "selected"), files_per_trigger=1)
+        jobs.technology_stream(
+            stream, f"file://{crawl}/archive", catalog_rows(spark, CATALOG),
+            str(crawl / "facts"), str(crawl / "checkpoint"), process_epoch=9,
+        ).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(MATCH_FACT).json(str(crawl / "facts")).collect())
+
+    facts = scan()
+    pairs = {(f[3], f[6]) for f in facts}
+    assert pairs == {("a.com", "WP"), ("a.com", "Track"), ("a.com", "nginx"), ("b.com", "nginx")}
+    assert scan() == facts  # nothing new
+
+
 def test_email_scan(spark):
     pages = spark.createDataFrame([("https://www.a.com", "x@y.zz x@y.zz")], "url string, html string")
     assert jobs.email_scan(pages).collect() == [("a.com", "x@y.zz")]

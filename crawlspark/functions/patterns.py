@@ -10,6 +10,9 @@ _SAFE = "".join(chr(0xE000 + i) for i in range(len(_SPECIAL)))
 _OPEN, _CLOSE, _BAR, _GAP = "\uE0F0", "\uE0F1", "\uE0F2", "\uE0F3"
 _STAND_INS = f"[{_SAFE}{_OPEN}{_CLOSE}{_BAR}{_GAP}]"
 
+# Length from which a text is worth looking for
+_MIN_TEXT = 2
+
 # Group depth that alternatives and required_texts see through
 _DEPTH = 4
 
@@ -36,8 +39,12 @@ def grouped(pattern: Column) -> Column:
 
 
 def body_regex(pattern: Column) -> Column:
-    """html and script patterns match anywhere, case-sensitive."""
-    return F.concat(F.lit(BODY_FLAGS), grouped(pattern))
+    """html and script patterns match anywhere, case-sensitive.
+
+    Without a group around it: the regex engine skips ahead to a text that a pattern opens with,
+    but does not see it in a group. The flags hold for all alternatives all the same.
+    """
+    return F.concat(F.lit(BODY_FLAGS), pattern)
 
 
 def header_regex(pattern: Column) -> Column:
@@ -79,8 +86,15 @@ def alternatives(pattern: Column) -> Column:
     return F.when(whole, F.array(pattern)).otherwise(parts)
 
 
+def literal_text(pattern: Column) -> Column:
+    """The text that ``pattern`` stands for if it is one without any operators, else null."""
+    plain = F.regexp_replace(_hide_escapes(pattern), r"\\([^a-zA-Z0-9])", "$1")
+    is_text = ~pattern.rlike(_STAND_INS) & ~plain.rlike(r"[\\.^$|?*+()\[\]{}]")
+    return F.when(is_text & (F.length(plain) >= _MIN_TEXT), F.translate(plain, _SAFE, _SPECIAL))
+
+
 def required_texts(pattern: Column) -> Column:
-    """Texts of three and more characters that every match of ``pattern`` contains, all of them.
+    """Texts of two and more characters that every match of ``pattern`` contains, all of them.
 
     Everything that a match can do without is cut out first: classes, groups, and whatever a
     quantifier follows. Null if no such text is certain, as with alternatives at the top level,
@@ -93,7 +107,7 @@ def required_texts(pattern: Column) -> Column:
     for _ in range(_DEPTH):
         left = F.regexp_replace(left, r"\([^()]*\)", _GAP)
     left = F.regexp_replace(left, r"(?s).[?*][?+]?|.\{[^}]*\}[?+]?", _GAP)
-    runs = F.filter(F.split(left, rf"[{_GAP}.^$+]"), lambda run: F.length(run) >= 3)
+    runs = F.filter(F.split(left, rf"[{_GAP}.^$+]"), lambda run: F.length(run) >= _MIN_TEXT)
     texts = F.array_distinct(F.transform(runs, lambda run: F.translate(run, _SAFE, _SPECIAL)))
     unsure = (
         pattern.rlike(_STAND_INS)

@@ -7,9 +7,9 @@ every pattern. Two steps:
    is searched for them: with ``contains`` for a small catalog; for a large one in one pass over
    the page, whatever the number of patterns.
 2. *Check.* The regular expressions of the candidates, and of the patterns without such texts, run
-   on the page.
+   on the page. A pattern that is a text and nothing else needs no check.
 
-The second step alone decides, so both ways give the same rows.
+Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from crawlspark.runtime import broadcast_if_small, fits_in_memory, work_dir
 BODY_KINDS = ("html", "scripts")
 
 # Up to this many patterns are tried one by one
-ONE_BY_ONE_MAX = 24
+ONE_BY_ONE_MAX = 12
 
 # Patterns that one pass over the pages may carry to every task
 PATTERNS_PER_PASS = 20_000
@@ -86,13 +86,15 @@ def _rules(catalog: DataFrame) -> list[dict]:
     is_header, pattern = F.col("evidence") == "headers", F.col("pattern")
     parts = F.when(is_header, F.array(pattern)).otherwise(patterns.alternatives(pattern))
     rules = catalog.withColumn("pattern", F.explode(parts))
-    regex = F.when(is_header, patterns.header_regex(pattern)).otherwise(patterns.body_regex(pattern))
+    literal = F.when(~is_header, patterns.literal_text(pattern))
+    body = F.when(literal.isNull(), patterns.body_regex(pattern))
+    texts = F.when(literal.isNotNull(), F.array(literal)).otherwise(patterns.required_texts(pattern))
     rows = rules.select(
         "app_name",
         F.col("evidence").alias("app_type"),
         "header_name",
-        regex.alias("regex"),
-        F.when(~is_header, patterns.required_texts(pattern)).alias("texts"),
+        F.when(is_header, patterns.header_regex(pattern)).otherwise(body).alias("regex"),
+        F.when(~is_header, texts).alias("texts"),
     ).collect()
     return [row.asDict() for row in rows]
 
@@ -124,7 +126,7 @@ def _array(rules) -> Column:
 
 def _check(rules: Column, text: Column, one_by_one: bool = False) -> Column:
     def matches(rule: Column) -> Column:
-        regex = F.rlike(text, rule["regex"])
+        regex = rule["regex"].isNull() | F.rlike(text, rule["regex"])
         if not one_by_one:
             return regex
         return F.forall(rule["texts"], lambda part: F.contains(text, part)) & regex

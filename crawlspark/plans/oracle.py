@@ -190,7 +190,7 @@ WITH apps AS (
          '\\(' || p_name || '(?:[a-z]+)(?:\\d|[(])' AS non_capturing
   FROM part)
 SELECT app_name, non_capturing, '(?:' || non_capturing || ')' AS grouped,
-       '(?sm)(?:' || non_capturing || ')' AS body_regex,
+       '(?sm)' || non_capturing AS body_regex,
        '(?si)^(?:' || non_capturing || ')' AS header_regex
 FROM apps"""
 

@@ -57,6 +57,7 @@ def test_is_valid(spark):
         (r"<script[^>]+lib\.js", ["<script", "lib.js"]),
         (r"track\(12\);?</script>", ["track(12)", "</script>"]),
         ("abc+def", ["abc", "def"]),
+        ("ab[cd]e", ["ab"]),
         ("abcd?efg", ["abc", "efg"]),
         ("abcd*?xyz", ["abc", "xyz"]),
         ("abc(def)?xyz", ["abc", "xyz"]),
@@ -75,7 +76,8 @@ def test_is_valid(spark):
         (r"\x41bc|abc", None),
         ("abc\\" + "u0041", None),
         ("[a[bcd]]efg", None),
-        ("ab", None),
+        ("ab", ["ab"]),
+        ("a", None),
         ("(abc)", None),
     ],
 )
@@ -83,6 +85,25 @@ def test_required_texts(spark, pattern, texts):
     assert value(spark, pattern, patterns.required_texts) == texts
 
 
+@pytest.mark.parametrize(
+    "pattern, text",
+    [
+        ('<div class="ad">', '<div class="ad">'),
+        (r"a\.b\\c\(\/", "a.b\\c(/"),
+        ("a.b", None),
+        ("(ab)", None),
+        (r"ab\d", None),
+        (r"\x41b", None),
+        ("a|b", None),
+        ("^ab", None),
+        ("ab]", None),
+        ("a", None),
+    ],
+)
+def test_literal_text(spark, pattern, text):
+    assert value(spark, pattern, patterns.literal_text) == text
+
+
 @pytest.mark.parametrize(
     "pattern, parts",
     [

@@ -3,15 +3,16 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scheme and user are optional; the host ends at a port, path, query or fragment.
-HOST_PATTERN = r"^(?:(?:[a-zA-Z][\w+.-]*:)?//)?(?:[^/?#@]*@)?([^/?#:]+)"
+# Scheme and user are optional; the host ends at a port, path, query or fragment. What comes before
+# the mark of an optional part cannot hold the mark, so a run without it is not tried again (*+).
+HOST_PATTERN = r"^(?:(?:[a-zA-Z][\w+.-]*+:)?//)?(?:[^/?#@]*+@)?([^/?#:]+)"
 STORAGE_PATTERN = r"^s3://([^/]+)/+(.*)$"
 
 
 def host_no_www(url: Column) -> Column:
     """lower-case host without a leading ``www.``; a ``www.`` further in stays (Q4)."""
     host = F.lower(F.regexp_extract(url, HOST_PATTERN, 1))
-    return F.regexp_replace(host, r"^www\.", "")
+    return F.when(F.startswith(host, F.lit("www.")), F.substr(host, F.lit(5))).otherwise(host)
 
 
 def slash_count(url: Column) -> Column:

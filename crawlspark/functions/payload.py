@@ -33,7 +33,7 @@ def http_body(text: Column) -> Column:
 
 
 def http_headers(text: Column) -> Column:
-    """header name to value. The last of several equal names wins, the status line is left out."""
+    """header name to value. Of equal names the last wins; the status line is left out."""
     lines = F.filter(
         F.split(http_head(text), r"\r?\n"),
         lambda line: ~F.startswith(F.lower(line), F.lit("http/")) & F.contains(line, F.lit(": ")),

@@ -37,7 +37,10 @@ PATTERNS_PER_PASS = 20_000
 BYTES_PER_PASS = 16 * 1024 * 1024
 
 _FOUND = "array<struct<app_name:string,app_type:string>>"
-_RULES = "array<struct<app_name:string,app_type:string,header_name:string,regex:string,texts:array<string>>>"
+_RULES = (
+    "array<struct<app_name:string,app_type:string,header_name:string,regex:string,"
+    "texts:array<string>>>"
+)
 
 
 def match_pages(
@@ -88,7 +91,8 @@ def _rules(catalog: DataFrame) -> list[dict]:
     rules = catalog.withColumn("pattern", F.explode(parts))
     literal = F.when(~is_header, patterns.literal_text(pattern))
     body = F.when(literal.isNull(), patterns.body_regex(pattern))
-    texts = F.when(literal.isNotNull(), F.array(literal)).otherwise(patterns.required_texts(pattern))
+    needed = patterns.required_texts(pattern)
+    texts = F.when(literal.isNotNull(), F.array(literal)).otherwise(needed)
     rows = rules.select(
         "app_name",
         F.col("evidence").alias("app_type"),
@@ -113,7 +117,8 @@ def _match_rules(pages: DataFrame, catalog: DataFrame, text: str, headers: str |
         )
         found.append(_check(candidates, F.col(text)))
     if headers is not None:
-        found.append(_check_headers([r for r in rules if r["app_type"] == "headers"], F.col(headers)))
+        header_rules = [r for r in rules if r["app_type"] == "headers"]
+        found.append(_check_headers(header_rules, F.col(headers)))
     evidence = F.array_distinct(F.concat(*(F.coalesce(f, F.array().cast(_FOUND)) for f in found)))
     kept = [c for c in pages.columns if c not in (text, headers)]
     return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
@@ -186,7 +191,7 @@ def _text_finder(needed: list[list[str]]) -> Callable[[Column], Column]:
 
 
 def match_headers(headers: DataFrame, catalog: DataFrame) -> DataFrame:
-    """J3 on a long table with ``header_name``, ``header_value``: join on the name, then the regex."""
+    """J3 on a long table with ``header_name``, ``header_value``: join on the name, then regex."""
     rules = catalog.where(F.col("evidence") == "headers").select(
         "app_name", "header_name", patterns.header_regex(F.col("pattern")).alias("_regex")
     )
@@ -206,7 +211,8 @@ Extractor = Callable[[DataFrame], DataFrame]
 def technology_extractor(catalog: DataFrame, key: str = "page_id", text: str = "html") -> Extractor:
     def extract_technologies(pages: DataFrame) -> DataFrame:
         found = match_pages(pages.select(key, text), catalog, text)
-        return found.select(key, F.concat(F.lit("technology:"), "app_type").alias("kind"), F.col("app_name").alias("value"))
+        kind = F.concat(F.lit("technology:"), "app_type").alias("kind")
+        return found.select(key, kind, F.col("app_name").alias("value"))
 
     return extract_technologies
 

@@ -48,7 +48,8 @@ def rollup_hosts(facts: DataFrame) -> DataFrame:
 def first_match_per_host(facts: DataFrame) -> DataFrame:
     """W2."""
     order = F.struct(*CARRIER, "app_name", "app_type")
-    return facts.groupBy("fqdn_no_www").agg(F.min(order).alias("first")).select("fqdn_no_www", "first.*")
+    first = facts.groupBy("fqdn_no_www").agg(F.min(order).alias("first"))
+    return first.select("fqdn_no_www", "first.*")
 
 
 def distinct_signatures(facts: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ URL_COLUMNS = SELECTED_URL.fieldNames()
 # The order in which the pages of a domain use up its quota (Q5)
 QUOTA_ORDER = ("url", "warc_filename", "warc_record_offset")
 
-# Above this cap Spark keeps no per-task top list, so hot domains are split by hand
-TOP_LIST_MAX = 1000
+# Up to the cap of this setting Spark keeps a top list per task; above it hot domains are salted
+TOP_LIST_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
 
@@ -66,7 +66,7 @@ def first_per_domain(df: DataFrame, cap: int) -> DataFrame:
     large part of the rows does not gather in one task.
     """
     keyed = df.withColumn("_host", urls.host_no_www(F.col("url")))
-    if cap > TOP_LIST_MAX:
+    if cap > int(df.sparkSession.conf.get(TOP_LIST_SETTING)):
         # the task number spreads copies of one row as well
         salt = F.pmod(F.xxhash64(*QUOTA_ORDER, F.spark_partition_id()), F.lit(SALTS))
         salted = keyed.withColumn("_salt", salt)
@@ -76,7 +76,8 @@ def first_per_domain(df: DataFrame, cap: int) -> DataFrame:
 
 def _first(df: DataFrame, cap: int, *keys: str) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(*QUOTA_ORDER)
-    return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= cap).drop("_rank")
+    ranked = df.withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= cap).drop("_rank")
 
 
 def cap_per_domain(df: DataFrame, cap: int) -> DataFrame:

@@ -24,7 +24,8 @@ def _homepage(url: str) -> str:
 
 
 def _p7(url: str) -> str:
-    return f"(NOT ends_with({url}, 'robots.txt') AND NOT contains({url}, '?') AND {_root_page(url)})"
+    kept = f"NOT ends_with({url}, 'robots.txt') AND NOT contains({url}, '?')"
+    return f"({kept} AND {_root_page(url)})"
 
 
 CRAWL = "CASE WHEN starts_with(url, 'https:') THEN 'CC-MAIN-2020-50' ELSE 'CC-MAIN-2020-45' END"
@@ -211,7 +212,7 @@ signatures(app_name, evidence, header_name, pattern) AS (VALUES
   ('1C-Bitrix', 'headers', 'X-Powered-CMS', 'Bitrix Site Manager'),
   ('Ad Server', 'html', NULL, '<div class="ad">'),
   ('Ad Server', 'html', NULL, '<!-- ad \\d+ -->'),
-  ('Apache', 'headers', 'Server', '(?:Apache(?:$|/([\\d.]+)|[^/-])|(?:^|\\b)HTTPD)'),
+  ('Apache', 'headers', 'Server', '(?:Apache|HTTPD)(?:/([\\d.]+))?'),
   ('Click Tracker', 'scripts', NULL, 'track\\([0-9]*7\\)'),
   ('Data Table', 'html', NULL, '<table[^>]*>'),
   ('German Edition', 'html', NULL, '<html[^>]+lang="de"'),
@@ -242,7 +243,8 @@ matches AS (
 
 
 def _matches_of(kind: str) -> str:
-    return f"WITH {_MATCHES} SELECT page_id, url, app_name, app_type FROM matches WHERE app_type = '{kind}'"
+    return f"""
+WITH {_MATCHES} SELECT page_id, url, app_name, app_type FROM matches WHERE app_type = '{kind}'"""
 
 
 TECH_HTML = _matches_of("html")
@@ -257,7 +259,8 @@ calls AS (
   SELECT DISTINCT unnest(regexp_extract_all(html, 'track\\((\\d+)\\)', 1)) AS word FROM pages),
 signatures AS (
   SELECT 'link ' || word AS app_name, 'html' AS app_type,
-         '<a href="/' || regexp_replace(word, '([.^$|?*+(){}\\[\\]\\\\])', '\\\\\\1', 'g') || '">[^<]+</a>' AS pattern
+         '<a href="/' ||
+         regexp_replace(word, '([.^$|?*+(){}\\[\\]\\\\])', '\\\\\\1', 'g') || '">[^<]+</a>' AS pattern
   FROM words
   UNION ALL
   SELECT 'track ' || word, 'scripts', 'track\\(' || word || '\\);?</script>' FROM calls)

@@ -625,8 +625,8 @@ def stream_technology_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Within one crawl, whose facts share an event time, complete."""
     pages = _stream(spark, sf_dir, "pages")
-    rows = pages.select("page_id", "url", "html", F.concat(*derived.http_payload()).alias("response"))
-    rows = rows.select("url", "html", payload.http_headers(F.col("response")).alias("headers"))
+    headers = payload.http_headers(F.concat(*derived.http_payload()))
+    rows = pages.select("url", "html", headers.alias("headers"))
     found = match.match_pages(rows, derived.sample_catalog(spark), headers="headers")
     facts = rollup.to_facts(found.withColumn("crawl", F.lit(derived.CRAWLS[1])), PROCESS_EPOCH)
     timed = facts.withColumn("seen_ts", F.timestamp_seconds("seen_time_epoch"))

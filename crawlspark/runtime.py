@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -34,6 +35,7 @@ def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its scheme, as Python tasks need it to open a file."""
     if "://" in path or path.startswith("file:"):
         return path
+    path = os.path.abspath(path)
     default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     return default_fs.rstrip("/") + path if "://" in default_fs.rstrip("/") else "file://" + path
 

@@ -52,13 +52,14 @@ def pairs(df):
 
 @pytest.mark.parametrize("cap", [1, 3, 50])
 @pytest.mark.parametrize("top_list", [1000, 0])
-def test_cap(spark, monkeypatch, cap, top_list):
-    monkeypatch.setattr(select_urls, "TOP_LIST_MAX", top_list)
+def test_cap(spark, cap, top_list):
+    spark.conf.set(select_urls.TOP_LIST_SETTING, top_list)
     urls = some_urls()
     df = frame(spark, urls).repartition(5)
     first, kept = brute(urls, cap)
     assert pairs(select_urls.first_per_domain(df, cap)) == first
     assert pairs(select_urls.cap_per_domain(df, cap)) == kept
+    spark.conf.unset(select_urls.TOP_LIST_SETTING)
 
 
 def test_cap_off(spark):

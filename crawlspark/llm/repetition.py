@@ -16,9 +16,9 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 MIN_WORDS = 50
 WINDOW = 3
-MIN_REPEAT = 10  # words: shorter repeats do not count as covered
-MAX_COVERED = 0.4  # of a text's words, all places of a repeat counted
-MAX_REPEAT = 100  # words
+MIN_REPEAT = 20  # words: shorter repeats do not count as covered
+MAX_COVERED = 0.3  # of a text's words, all places of a repeat counted
+MAX_REPEAT = 50  # words
 WORDS_AT_ONCE = 400_000
 
 RESULT = (
@@ -153,8 +153,8 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
     """Figures and verdict for every row of ``docs(doc_id, text)``.
 
     A text fails the base rule with under 50 words, or with over half of its words in 3-word windows
-    that it has twice. It fails the method's if the union of all substrings of 10 words or more that it
-    has twice covers over 40 % of its words, or if the longest has over 100 words. Null counts as empty:
+    that it has twice. It fails the method's if the union of all substrings of 20 words or more that it
+    has twice covers over 30 % of its words, or if the longest has over 50 words. Null counts as empty:
     no words, so it fails the base rule. Every text is judged alone and whole, so repeated rows agree
     and an empty table gives no rows; other columns are not read.
     """

@@ -161,6 +161,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     grouped = linked.join(smallest, "root").select("fp", "component_id")
     named = nodes.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # written first, so that the join below stands alone and a fingerprint with many rows can be split
+    named = saved(named, "named")
     return fps.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -122,7 +122,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document without words has no copies to count and stays once if its source gives any.
     """
-    mixed = mix(docs, whole_documents=True, **options)
+    read = {"doc_id", "text", "source"}
+    held = docs.select(*(F.col(c).alias(c if c in read else f"__{i}") for i, c in enumerate(docs.columns)))
+    mixed = mix(held, whole_documents=True, **options)
     size = F.col("size")
     copies = F.when(size > 0, F.col("taken") / size).otherwise((F.col("target") > 0).cast("int")).cast("int")
-    return mixed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), copies)).alias("__copy")).drop("__copy")
+    columns = [F.col(h).alias(c) for h, c in zip(held.columns, docs.columns, strict=True)]
+    return mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*columns)

@@ -98,7 +98,8 @@ def _entity(match: re.Match) -> Mention | None:
         return Mention(start, end, kind, value) if 15 <= len(value) <= 34 and _iban(value) else None
     if kind == "phone":
         digits = _digits(text)
-        return Mention(start, end, kind, digits) if 8 <= len(digits) <= 15 else None
+        # without a plus or an area code in brackets, short ones are years and other numbers
+        return Mention(start, end, kind, digits) if (8 if text[0] in "+(" else 9) <= len(digits) <= 15 else None
     if kind == "ssn":
         return Mention(start, end, kind, _digits(text))
     return Mention(start, end, kind, text)

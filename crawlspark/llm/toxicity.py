@@ -17,11 +17,12 @@ EXAMPLES = 8_192  # labelled texts of each class that are kept as examples, at m
 CALIBRATION = 8_192  # labelled texts that set the scale of the scores, at most
 VOCABULARY = 4_096  # terms, at most
 MIN_TEXTS = 3  # toxic examples a term must be in
-MIN_RATIO = 8.0  # times as frequent in toxic examples as in others
+MIN_RATIO = 2.0  # times as frequent in toxic examples as in others, at the lower end of its 95 % range
 NEIGHBOURS = 16
-SHRINK = 0.5  # similarity that stands for the base rate in every vote
+SHRINK = 0.3  # similarity that stands for the base rate in every vote
+OTHER_WORDS = 0.4  # weight of every word in what a vector has outside the vocabulary
 BLOCK = 64
-STEM = 4
+STEMS = (3, 5, 7)
 THRESHOLD = 0.3
 
 WORDS = re.compile(r"\w+")
@@ -31,14 +32,14 @@ def words_of(text: str | None) -> Counter:
     return Counter(WORDS.findall((text or "").lower()))
 
 
-def stems(word: str) -> str | None:
+def stems(word: str) -> list[str]:
     """Longer words also count by how they begin."""
-    return word[:STEM] + "*" if len(word) > STEM else None
+    return [word[:n] + "*" for n in STEMS if len(word) > n]
 
 
 def all_terms(text: str | None) -> set[str]:
     found = set(words_of(text))
-    return found | {s for w in found if (s := stems(w))}
+    return found | {s for w in found for s in stems(w)}
 
 
 class Index:
@@ -52,7 +53,7 @@ class Index:
         lead = [(int(v[0][v[1].argmax()]) if len(v[0]) else -1) for v in vectors]
         order = sorted((i for i in range(len(texts)) if lead[i] >= 0), key=lambda i: (lead[i], labels[i], str(ids[i])))
         self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
-        self.rate = (sum(labels) + 1) / (len(labels) + 2)
+        self.rate = (sum(labels) + 0.1) / (len(labels) + 1)
         self.blocks = -(-len(order) // BLOCK)
         lists: list[list[tuple[int, float]]] = [[] for _ in terms]
         for place, i in enumerate(order):
@@ -66,15 +67,20 @@ class Index:
             np.maximum.at(self.most[t], p // BLOCK, w)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of the vocabulary in a whole text and their weights, of length 1."""
+        """Terms of the vocabulary in a whole text and their weights in a vector of length 1.
+
+        All words of the text are one more component, which no two texts share, so that a few terms
+        weigh less in a long text.
+        """
         counts: dict[int, int] = {}
-        for word, n in words_of(text).items():
-            for term in (word, stems(word)):
-                if (i := self.number.get(term)) is not None:
+        number, words = self.number, words_of(text)
+        for word, n in words.items():
+            for term in (word, *stems(word)):
+                if (i := number.get(term)) is not None:
                     counts[i] = counts.get(i, 0) + n
         at = np.array(sorted(counts), np.int64)
         weight = (1 + np.log(np.array([counts[i] for i in at], float))) * self.idf[at]
-        return at, weight / (np.sqrt((weight * weight).sum()) or 1)
+        return at, weight / (np.sqrt((weight * weight).sum() + OTHER_WORDS**2 * words.total()) or 1)
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k most similar examples, ties to the smaller place; those without a
@@ -114,7 +120,7 @@ class Scorer:
 
     def __init__(self, index: Index, texts: list[str | None], labels: list[int]) -> None:
         self.index = index
-        self.a, self.b = 1.0, 0.0
+        self.a = self.b = None
         x = np.array([index.vote(t)[0] for t in texts])
         y = np.array(labels, float)
         if len(x):
@@ -123,6 +129,8 @@ class Scorer:
 
     def score(self, text: str | None) -> tuple[float, list]:
         vote, evidence = self.index.vote(text)
+        if self.a is None:  # nothing to calibrate with
+            return vote, evidence
         return float(1 / (1 + np.exp(-np.clip(self.a * vote + self.b, -50, 50)))), evidence
 
 
@@ -196,11 +204,12 @@ def fit(
 
     kept = texts.filter("example")
     n, n_toxic = kept.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    rate = F.col("toxic") / F.lit(max(1, n_toxic))
-    other = (F.col("n") - F.col("toxic") + 0.5) / F.lit(max(1, n - n_toxic))
+    clean = F.col("n") - F.col("toxic") + 0.5
+    rate, other = F.col("toxic") / F.lit(max(1, n_toxic)), clean / F.lit(max(1, n - n_toxic))
+    certain = F.log(rate / other) - 1.65 * F.sqrt(1 / F.col("toxic") + 1 / clean)
     found = (
         _term_texts(kept, ["toxic"], None)
-        .filter((F.col("toxic") >= MIN_TEXTS) & (rate / other >= MIN_RATIO))
+        .filter((F.col("toxic") >= MIN_TEXTS) & (certain >= F.log(F.lit(MIN_RATIO))))
         .orderBy((rate * F.log(rate / other)).desc(), "term")
         .limit(VOCABULARY)
         .collect()
@@ -221,7 +230,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold
 
     A score comes from the whole text alone. ``evidence`` holds the doc_ids of the nearest examples,
     nearest first. A null or empty text has no neighbour and the score of the base rate. Without labels
-    every text has the same low vote. An id with several labels is toxic if one says so; labels with a
+    every text has the same low score. An id with several labels is toxic if one says so; labels with a
     null id or mark are not used. Repeated rows are scored alike; a null doc_id counts as an empty one
     for the fold; an empty table gives no rows; other columns are not read.
     """

@@ -24,6 +24,8 @@ OTHER_WORDS = 0.4  # weight of every word in what a vector has outside the vocab
 BLOCK = 64
 STEMS = (3, 5, 7)
 THRESHOLD = 0.3
+CACHE_WORDS = 300_000
+BLOCKS_AT_ONCE = 8
 
 WORDS = re.compile(r"\w+")
 
@@ -42,11 +44,35 @@ def all_terms(text: str | None) -> set[str]:
     return found | {s for w in found for s in stems(w)}
 
 
+class Vocabulary(dict):
+    """Numbers of the terms that a word counts for; those of frequent words are kept."""
+
+    def __init__(self, terms: list[str]) -> None:
+        self.number = {t: i for i, t in enumerate(terms)}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = tuple(i for t in (word, *stems(word)) if (i := self.number.get(t)) is not None)
+        if len(self) < CACHE_WORDS:
+            self[word] = found
+        return found
+
+    def __reduce__(self):
+        return Vocabulary, (list(self.number),)
+
+    def counts(self, words: Counter) -> dict[int, int]:
+        """How often each term occurs."""
+        out: dict[int, int] = {}
+        for word, n in words.items():
+            for i in self[word]:
+                out[i] = out.get(i, 0) + n
+        return out
+
+
 class Index:
     """Examples as unit vectors in an inverted index with the largest weight of each term in each block."""
 
     def __init__(self, terms: list[str], idf: np.ndarray, ids: list[int | None], labels: list[int], texts: list[str | None]) -> None:
-        self.number = {t: i for i, t in enumerate(terms)}
+        self.terms = Vocabulary(terms)
         self.idf = idf
         vectors = [self.vector(t) for t in texts]
         # examples that share their weightiest term are put together, which keeps blocks' maxima tight
@@ -61,10 +87,10 @@ class Index:
                 lists[t].append((place, w))
         self.places = [np.array([p for p, _ in x], np.int64) for x in lists]
         self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.begins = [np.searchsorted(p, np.arange(self.blocks + 1) * BLOCK) for p in self.places]
+        self.block_of = [p // BLOCK for p in self.places]
         self.most = np.zeros((len(terms), self.blocks))
-        for t, (p, w) in enumerate(zip(self.places, self.weights, strict=True)):
-            np.maximum.at(self.most[t], p // BLOCK, w)
+        for t, w in enumerate(self.weights):
+            np.maximum.at(self.most[t], self.block_of[t], w)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms of the vocabulary in a whole text and their weights in a vector of length 1.
@@ -72,12 +98,8 @@ class Index:
         All words of the text are one more component, which no two texts share, so that a few terms
         weigh less in a long text.
         """
-        counts: dict[int, int] = {}
-        number, words = self.number, words_of(text)
-        for word, n in words.items():
-            for term in (word, *stems(word)):
-                if (i := number.get(term)) is not None:
-                    counts[i] = counts.get(i, 0) + n
+        words = words_of(text)
+        counts = self.terms.counts(words)
         at = np.array(sorted(counts), np.int64)
         weight = (1 + np.log(np.array([counts[i] for i in at], float))) * self.idf[at]
         return at, weight / (np.sqrt((weight * weight).sum() + OTHER_WORDS**2 * words.total()) or 1)
@@ -86,25 +108,31 @@ class Index:
         """Places and cosines of the k most similar examples, ties to the smaller place; those without a
         common term are none.
 
-        Blocks are scored in the order of their upper bounds, and no more once a bound is under the
-        k-th best cosine.
+        Blocks are scored in the order of their upper bounds, some at once, and no more once the next
+        bound is under the k-th best cosine.
         """
         if not len(at) or not self.blocks:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = weight @ self.most[at]
-        best_place, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable"):
-            # sums of products in another order may differ in their last bits
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best_place, best, begin, step = np.zeros(0, np.int64), np.zeros(0), 0, BLOCKS_AT_ONCE
+        # sums of products in another order may differ in their last bits
+        while begin < len(order) and (len(best) < k or bound[order[begin]] >= best[-1] - 1e-9):
+            chosen = np.zeros(self.blocks, bool)
+            chosen[order[begin : begin + step]] = True
+            begin, step = begin + step, 4 * step
+            score = np.zeros(len(self.ids))
             for t, w in zip(at, weight, strict=True):
-                part = slice(self.begins[t][block], self.begins[t][block + 1])
-                score[self.places[t][part] - block * BLOCK] += w * self.weights[t][part]
-            hit = np.flatnonzero(score > 0)
-            best_place, best = np.concatenate([best_place, hit + block * BLOCK]), np.concatenate([best, score[hit]])
-            order = np.lexsort((best_place, -np.round(best, 9)))[:k]
-            best_place, best = best_place[order], best[order]
+                part = chosen[self.block_of[t]]
+                score[self.places[t][part]] += w * self.weights[t][part]
+            hit = np.flatnonzero(score)
+            best_place, best = np.concatenate([best_place, hit]), np.concatenate([best, score[hit]])
+            if len(best) > 4 * k:
+                top = best >= np.partition(best, -k)[-k] - 1e-8
+                best_place, best = best_place[top], best[top]
+            first = np.lexsort((best_place, -np.round(best, 9)))[:k]
+            best_place, best = best_place[first], best[first]
         return best_place, best
 
     def vote(self, text: str | None) -> tuple[float, list]:
@@ -148,19 +176,21 @@ def _logistic(x: np.ndarray, wanted: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-6), float(beta[1])
 
 
-def _term_texts(docs: DataFrame, carried: list[str], terms: set[str] | None) -> DataFrame:
+def _term_texts(docs: DataFrame, carried: list[str], terms: list[str] | None) -> DataFrame:
     """``term`` and sums: texts that hold it, and sums of the carried columns over them."""
     bound_batches(docs.sparkSession)
     fields = ", ".join(["term string", "n long", *(f"{c} long" for c in carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(terms or [])
         for batch in batches:
             sums = [Counter() for _ in range(len(carried) + 1)]
             values = [batch[c].to_pylist() for c in carried]
             for i, text in enumerate(batch["text"].to_pylist()):
-                found = all_terms(text)
-                if terms is not None:
-                    found &= terms
+                if terms is None:
+                    found = all_terms(text)
+                else:
+                    found = {terms[i] for i in vocabulary.counts(words_of(text))}
                 sums[0].update(found)
                 for s, v in zip(sums[1:], values, strict=True):
                     if v[i]:
@@ -216,7 +246,7 @@ def fit(
     )
     terms = sorted(r["term"] for r in found)
     total = docs.count()
-    held = {r["term"]: r["n"] for r in _term_texts(docs, [], set(terms)).collect()} if terms else {}
+    held = {r["term"]: r["n"] for r in _term_texts(docs, [], terms).collect()} if terms else {}
     idf = np.array([np.log((1 + total) / (1 + held.get(t, 0))) + 1 for t in terms])
     rows = texts.orderBy("h", "doc_id").collect()
     own = [r for r in rows if r["example"]]

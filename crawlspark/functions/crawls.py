@@ -5,17 +5,6 @@ from pyspark.sql import functions as F
 
 SECONDS_PER_DAY = 86_400
 
-# The weeks of the crawls in the calendar, by year.
-CALENDAR_WEEKS = {
-    2014: (10, 15, 23, 35, 41, 42, 49, 52),
-    2015: (6, 11, 14, 18, 22, 27, 32, 35, 40, 48),
-    2016: (7, 18, 22, 26, 30, 36, 40, 44, 50),
-    2017: (4, 9, 13, 17, 22, 26, 30, 34, 39, 43, 47, 51),
-    2018: (5, 9, 13, 17, 22, 26, 30, 34, 39, 43, 47, 51),
-    2019: (4, 9, 13, 18, 22, 26, 30, 35, 39, 43, 47, 51),
-    2020: (5, 10, 16, 24, 29, 34, 40),
-}
-
 
 def crawl_epoch(crawl: Column) -> Column:
     """Sunday of the crawl's week at 00:00 UTC, weeks counted from the year's first Monday.

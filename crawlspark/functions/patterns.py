@@ -16,8 +16,9 @@ _MIN_TEXT = 2
 # Group depth that alternatives and required_texts see through
 _DEPTH = 4
 
-BODY_FLAGS = "(?sm)"
-HEADER_FLAGS = "(?si)"
+# d: only \n ends a line, as in the engines the catalog is written for
+BODY_FLAGS = "(?smd)"
+HEADER_FLAGS = "(?sid)"
 
 # One step over a pattern: an escape, a character class, an existing (?...) or a plain character.
 _STEP = r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\(\?|[^\\(\[]"

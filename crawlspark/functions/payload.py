@@ -39,10 +39,23 @@ def http_headers(text: Column) -> Column:
         lambda line: ~F.startswith(F.lower(line), F.lit("http/")) & F.contains(line, F.lit(": ")),
     )
 
-    def add(headers: Column, line: Column) -> Column:
-        name = F.substring_index(line, ": ", 1)
-        value = F.substr(line, F.instr(line, F.lit(": ")) + 2)
-        others = F.map_filter(headers, lambda known, _: known != name)
-        return F.map_concat(others, F.create_map(name, value))
-
-    return F.aggregate(lines, F.create_map().cast("map<string,string>"), add)
+    # sorted by name and place, a line counts if the next one has another name
+    ordered = F.array_sort(
+        F.transform(
+            lines,
+            lambda line, place: F.struct(
+                F.substring_index(line, ": ", 1).alias("name"),
+                place.alias("place"),
+                F.substr(line, F.instr(line, F.lit(": ")) + 2).alias("value"),
+            ),
+        )
+    )
+    pairs = F.zip_with(
+        ordered,
+        F.slice(ordered, 2, F.size(ordered)),
+        lambda line, following: F.struct(
+            line["name"].alias("name"), line["value"].alias("value"), following["name"].alias("following")
+        ),
+    )
+    last = F.filter(pairs, lambda x: x["following"].isNull() | (x["following"] != x["name"]))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["name"], x["value"])))

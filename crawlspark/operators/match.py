@@ -25,16 +25,22 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions import patterns
 from crawlspark.functions.emails import find_emails
-from crawlspark.runtime import broadcast_if_small, fits_in_memory, work_dir
+from crawlspark.runtime import broadcast_if_small
 
 BODY_KINDS = ("html", "scripts")
 
-# Up to this many patterns are tried one by one
+# Up to this many patterns with sure texts are tried one by one
 ONE_BY_ONE_MAX = 12
 
-# Patterns that one pass over the pages may carry to every task
-PATTERNS_PER_PASS = 20_000
-BYTES_PER_PASS = 16 * 1024 * 1024
+# Up to this many patterns without such texts, or for headers, are constants of the plan, which
+# are compiled once
+LITERAL_MAX = 64
+
+# Rules that travel to the tasks as one constant; a larger catalog is several
+RULES_PER_SHARE = 5_000
+
+# What a catalog may hold when its alternatives are split
+MAX_RULES = 200_000
 
 _FOUND = "array<struct<app_name:string,app_type:string>>"
 _RULES = (
@@ -49,43 +55,22 @@ def match_pages(
     text: str = "html",
     headers: str | None = None,
     kinds: Sequence[str] = BODY_KINDS,
-    patterns_per_pass: int = PATTERNS_PER_PASS,
+    rules_per_share: int = RULES_PER_SHARE,
 ) -> DataFrame:
     """Distinct ``app_name``, ``app_type`` per page, all kinds in one pass.
 
     ``text`` is searched by the patterns of ``kinds``. With ``headers``, a map column, the header
-    patterns are applied too. Both columns are left out of the result.
+    patterns are applied too. Both columns are left out of the result. Every page row is read once
+    and gives its own rows, whatever the size of the catalog; ``pages`` may be a stream.
     """
     if headers is not None:
         kinds = [*kinds, "headers"]
     wanted = catalog.where(F.col("evidence").isin(list(kinds)))
-    if fits_in_memory(wanted, patterns_per_pass, BYTES_PER_PASS):
-        return _match_rules(pages, wanted, text, headers)
-    return _match_in_passes(pages, wanted, text, headers, patterns_per_pass)
-
-
-def _match_in_passes(
-    pages: DataFrame, catalog: DataFrame, text: str, headers: str | None, per_pass: int
-) -> DataFrame:
-    """A catalog too large for one pass: a share of it at a time, the results written as they come.
-
-    The driver and the tasks hold one share only.
-    """
-    spark = pages.sparkSession
-    size = F.octet_length(F.to_json(F.struct("*"))).cast("long")
-    rows, width = catalog.agg(F.count("*"), F.sum(size)).first()
-    # shares of half the bound on average leave room for uneven ones
-    shares = 2 * max(-(-rows // per_pass), -(-width // BYTES_PER_PASS))
-    share = F.pmod(F.xxhash64("app_name", "evidence", "pattern"), F.lit(shares))
-    path = work_dir(spark, "matches")
-    for number in range(shares):
-        found = _match_rules(pages, catalog.where(share == number), text, headers)
-        found.write.mode("append").parquet(path)
-    return spark.read.parquet(path).distinct()
+    return _match_rules(pages, _rules(wanted), text, headers, rules_per_share)
 
 
 def _rules(catalog: DataFrame) -> list[dict]:
-    """Patterns as they are run, with the texts they need. The caller has checked the size."""
+    """Patterns as they are run, with the texts they need. One action reads and checks them."""
     is_header, pattern = F.col("evidence") == "headers", F.col("pattern")
     parts = F.when(is_header, F.array(pattern)).otherwise(patterns.alternatives(pattern))
     rules = catalog.withColumn("pattern", F.explode(parts))
@@ -99,23 +84,34 @@ def _rules(catalog: DataFrame) -> list[dict]:
         "header_name",
         F.when(is_header, patterns.header_regex(pattern)).otherwise(body).alias("regex"),
         F.when(~is_header, texts).alias("texts"),
-    ).collect()
+    ).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules: match parts of the catalog, by app, and unite the rows")
     return [row.asDict() for row in rows]
 
 
-def _match_rules(pages: DataFrame, catalog: DataFrame, text: str, headers: str | None) -> DataFrame:
-    rules = _rules(catalog)
+def _shares(rules: list[dict], size: int) -> Iterator[list[dict]]:
+    for start in range(0, len(rules), size):
+        yield rules[start : start + size]
+
+
+def _match_rules(
+    pages: DataFrame, rules: list[dict], text: str, headers: str | None, per_share: int
+) -> DataFrame:
     body = [r for r in rules if r["app_type"] != "headers"]
     certain = [r for r in body if r["texts"]]
-    found = [_check(_array(r for r in body if not r["texts"]), F.col(text))]
+    unsure = [r for r in body if not r["texts"]]
+    found = []
+    if len(unsure) <= LITERAL_MAX:
+        found.append(_literal_check(unsure, F.col(text)))
+    else:
+        found += [_check(_array(share), F.col(text)) for share in _shares(unsure, per_share)]
     if len(certain) <= ONE_BY_ONE_MAX:
-        found.append(_check(_array(certain), F.col(text), one_by_one=True))
+        found.append(_literal_check(certain, F.col(text)))
     else:
-        candidates = F.transform(
-            _text_finder([r["texts"] for r in certain])(F.col(text)),
-            lambda position: F.get(_array(certain), position),
-        )
-        found.append(_check(candidates, F.col(text)))
+        for share in _shares(certain, per_share):
+            positions = _text_finder([r["texts"] for r in share])(F.col(text))
+            found.append(_check(F.transform(positions, _entry(_array(share))), F.col(text)))
     if headers is not None:
         header_rules = [r for r in rules if r["app_type"] == "headers"]
         found.append(_check_headers(header_rules, F.col(headers)))
@@ -124,23 +120,36 @@ def _match_rules(pages: DataFrame, catalog: DataFrame, text: str, headers: str |
     return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
 
 
+def _entry(rules: Column) -> Callable[[Column], Column]:
+    return lambda position: F.get(rules, position)
+
+
 def _array(rules) -> Column:
     """Rules as one constant."""
     return F.from_json(F.lit(json.dumps(list(rules))), _RULES)
 
 
-def _check(rules: Column, text: Column, one_by_one: bool = False) -> Column:
-    def matches(rule: Column) -> Column:
-        regex = rule["regex"].isNull() | F.rlike(text, rule["regex"])
-        if not one_by_one:
-            return regex
-        return F.forall(rule["texts"], lambda part: F.contains(text, part)) & regex
+def _check(rules: Column, text: Column) -> Column:
+    return _apps(F.filter(rules, lambda r: r["regex"].isNull() | F.rlike(text, r["regex"])))
 
-    return _apps(F.filter(rules, matches))
+
+def _literal_check(rules: list[dict], text: Column | None, headers: Column | None = None) -> Column:
+    """Rules as constants of the plan, one by one: their regular expressions are compiled once."""
+    hits = []
+    for rule in rules:
+        value = text if headers is None else F.element_at(headers, F.lit(rule["header_name"]))
+        tests = [F.contains(value, F.lit(part)) for part in rule["texts"] or []]
+        if rule["regex"] is not None:
+            tests.append(F.rlike(value, F.lit(rule["regex"])))
+        app = F.struct(F.lit(rule["app_name"]).alias("app_name"), F.lit(rule["app_type"]).alias("app_type"))
+        hits.append(F.when(reduce(Column.__and__, tests), app))
+    return F.array_compact(F.array(*hits)) if hits else F.array().cast(_FOUND)
 
 
 def _check_headers(rules: list[dict], headers: Column) -> Column:
     """J3 inside the row: the patterns listed for a header's name against its value."""
+    if len(rules) <= LITERAL_MAX:
+        return _literal_check(rules, None, headers)
     by_name: dict[str, list[dict]] = {}
     for rule in rules:
         by_name.setdefault(rule["header_name"], []).append(rule)
@@ -168,10 +177,10 @@ def _text_finder(needed: list[list[str]]) -> Callable[[Column], Column]:
         key = min(texts, key=lambda text: (shared[text], -len(text)))
         keyed.setdefault(key, []).append(position)
 
+    import ahocorasick  # package pyahocorasick: fails here, at plan time, where it is missing
+
     @F.pandas_udf("array<int>")
     def find(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
         search = ahocorasick.Automaton()
         for key in keyed:
             search.add_word(key, key)

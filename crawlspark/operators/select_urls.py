@@ -25,6 +25,7 @@ def no_query(query: Column) -> Column:
 
 def is_root_path(path: Column) -> Column:
     """Homepage, or a page or folder one level below it."""
+    # fixed values, as in the specification
     return (F.length(path) == 0) | (path == "/") | path.rlike(r"^/[^/]+/?$")
 
 
@@ -36,6 +37,7 @@ def is_index_page(path: Column, url: Column, host: Column, domain: Column) -> Co
     extra = F.length(host) - F.length(domain)
     bare_https = (extra == 0) & F.startswith(url, F.lit("https://"))
     www = (extra == 4) & F.startswith(host, F.lit("www."))
+    # fixed values, as in the specification
     return path.rlike(r"^/?(?:index\.(?:html?|php))?$") & (bare_https | www)
 
 

@@ -93,6 +93,7 @@ SELECTED_URLS = f"WITH {SELECTED} SELECT {_FIVE} FROM selected"
 INDEX_PARTITION_SCAN = f"""
 WITH {SELECTED} SELECT {_FIVE} FROM selected WHERE crawl = 'CC-MAIN-2020-50' AND variant <> 3"""
 
+# The path patterns are part of the specification.
 INDEX_HOMEPAGE_LEVEL1 = f"""
 WITH {SELECTED},
 ccindex AS (
@@ -154,6 +155,7 @@ FROM counts"""
 # --- e-mails ---------------------------------------------------------------------------------
 
 
+# The address pattern and the image endings are part of the specification.
 def _emails(text: str) -> str:
     return (
         f"[e FOR e IN regexp_extract_all({text}, '[\\w\\.-]+@[\\w\\.-]+\\.\\w+') "
@@ -191,8 +193,8 @@ WITH apps AS (
          '\\(' || p_name || '(?:[a-z]+)(?:\\d|[(])' AS non_capturing
   FROM part)
 SELECT app_name, non_capturing, '(?:' || non_capturing || ')' AS grouped,
-       '(?sm)' || non_capturing AS body_regex,
-       '(?si)^(?:' || non_capturing || ')' AS header_regex
+       '(?smd)' || non_capturing AS body_regex,
+       '(?sid)^(?:' || non_capturing || ')' AS header_regex
 FROM apps"""
 
 APP_DIM = """

@@ -52,10 +52,3 @@ def test_source_and_process_time(spark):
     ).first()
     assert row.source == "cc:CC-MAIN-2020-40" and row.given == 5
     assert abs(row.now - datetime.datetime.now().timestamp()) < 60
-
-
-def test_listed_crawls(spark):
-    listed = dict(lookup.listed_crawls(spark).collect())
-    assert len(listed) == 70
-    assert listed["CC-MAIN-2014-10"] == 1394928000 and listed["CC-MAIN-2020-40"] == 1602374400
-    assert sum(listed.values()) == sum(epochs(spark, listed).values())

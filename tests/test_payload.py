@@ -29,3 +29,9 @@ def test_no_blank_line(spark):
 
 def test_no_headers(spark):
     assert parsed(spark, "HTTP/1.1 204 Gone\r\n\r\n") == ({}, "")
+
+
+def test_many_lines(spark):
+    lines = [f"Name-{i % 700}: {i}" for i in range(4_000)]
+    headers, _ = parsed(spark, "HTTP/1.1 200 OK\r\n" + "\r\n".join(lines) + "\r\n\r\n")
+    assert headers == {f"Name-{i % 700}": str(i) for i in range(4_000)}

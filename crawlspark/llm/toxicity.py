@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,29 +69,11 @@ class Vocabulary(dict):
         return out
 
 
-class Index:
-    """Examples as unit vectors in an inverted index with the largest weight of each term in each block."""
+class Weights:
+    """Terms and their weights; makes the vectors of whole texts."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, ids: list[int | None], labels: list[int], texts: list[str | None]) -> None:
-        self.terms = Vocabulary(terms)
-        self.idf = idf
-        vectors = [self.vector(t) for t in texts]
-        # examples that share their weightiest term are put together, which keeps blocks' maxima tight
-        lead = [(int(v[0][v[1].argmax()]) if len(v[0]) else -1) for v in vectors]
-        order = sorted((i for i in range(len(texts)) if lead[i] >= 0), key=lambda i: (lead[i], labels[i], str(ids[i])))
-        self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
-        self.rate = (sum(labels) + 0.1) / (len(labels) + 1)
-        self.blocks = -(-len(order) // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in terms]
-        for place, i in enumerate(order):
-            for t, w in zip(*vectors[i], strict=True):
-                lists[t].append((place, w))
-        self.places = [np.array([p for p, _ in x], np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.block_of = [p // BLOCK for p in self.places]
-        self.most = np.zeros((len(terms), self.blocks))
-        for t, w in enumerate(self.weights):
-            np.maximum.at(self.most[t], self.block_of[t], w)
+    def __init__(self, terms: list[str], idf: np.ndarray) -> None:
+        self.terms, self.idf = Vocabulary(terms), idf
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms of the vocabulary in a whole text and their weights in a vector of length 1.
@@ -104,6 +87,30 @@ class Index:
         weight = (1 + np.log(np.array([counts[i] for i in at], float))) * self.idf[at]
         return at, weight / (np.sqrt((weight * weight).sum() + OTHER_WORDS**2 * words.total()) or 1)
 
+
+class Index:
+    """Examples as unit vectors in an inverted index with the largest weight of each term in each block."""
+
+    def __init__(self, weights: Weights, ids: list[int | None], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.vector = weights.vector
+        # examples that share their weightiest term are put together, which keeps blocks' maxima tight
+        lead = [(int(v[0][v[1].argmax()]) if len(v[0]) else -1) for v in vectors]
+        order = sorted((i for i in range(len(ids)) if lead[i] >= 0), key=lambda i: (lead[i], labels[i], str(ids[i])))
+        self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
+        self.rate = (sum(labels) + 0.1) / (len(labels) + 1)
+        self.blocks = -(-len(order) // BLOCK)
+        terms = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
+        values = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
+        places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        by_term = np.argsort(terms, kind="stable")
+        n_terms = len(weights.idf)
+        cuts = np.searchsorted(terms[by_term], np.arange(1, n_terms))
+        self.places = np.split(places[by_term], cuts)
+        self.weights = np.split(values[by_term], cuts)
+        self.block_of = [p // BLOCK for p in self.places]
+        self.most = np.zeros((n_terms, self.blocks))
+        np.maximum.at(self.most, (terms, places // BLOCK), values)
+
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k most similar examples, ties to the smaller place; those without a
         common term are none.
@@ -144,13 +151,12 @@ class Index:
 
 
 class Scorer:
-    """Votes on the scale of a logistic curve, fitted to labelled texts that are no examples."""
+    """Votes on the scale of a logistic curve, fitted to the votes on labelled texts that are no examples."""
 
-    def __init__(self, index: Index, texts: list[str | None], labels: list[int]) -> None:
+    def __init__(self, index: Index, votes: list[float], labels: list[int]) -> None:
         self.index = index
         self.a = self.b = None
-        x = np.array([index.vote(t)[0] for t in texts])
-        y = np.array(labels, float)
+        x, y = np.array(votes, float), np.array(labels, float)
         if len(x):
             wanted = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
             self.a, self.b = _logistic(x, wanted)
@@ -214,7 +220,8 @@ def fit(
     """The scorer learned from ``labels(doc_id, toxic)`` outside the held-out fold.
 
     Examples and calibration texts are samples by hash, bounded by their parameters; which terms tell
-    the classes apart is counted in them. Document frequencies are those of all rows of ``docs``.
+    the classes apart is counted in them. Document frequencies are those of all rows of ``docs``. Texts
+    stay on the executors: the driver reads the examples' vectors and the votes on calibration texts.
     """
     learned = (
         labels.filter("doc_id is not null and toxic is not null")
@@ -248,11 +255,46 @@ def fit(
     total = docs.count()
     held = {r["term"]: r["n"] for r in _term_texts(docs, [], terms).collect()} if terms else {}
     idf = np.array([np.log((1 + total) / (1 + held.get(t, 0))) + 1 for t in terms])
-    rows = texts.orderBy("h", "doc_id").collect()
-    own = [r for r in rows if r["example"]]
-    index = Index(terms, idf, [r["doc_id"] for r in own], [r["toxic"] for r in own], [r["text"] for r in own])
-    rest = [r for r in rows if not r["example"]]
-    return Scorer(index, [r["text"] for r in rest], [r["toxic"] for r in rest])
+    weights = Weights(terms, idf)
+    own = _vectors(kept, weights).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    vectors = list(zip(*(_arrays(own[c], t) for c, t in (("at", np.int64), ("weight", float))), strict=True))
+    index = Index(weights, own["doc_id"].to_pylist(), own["toxic"].to_pylist(), vectors)
+    rest = _votes(texts.filter(~F.col("example")), index).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    return Scorer(index, rest["vote"].to_pylist(), rest["toxic"].to_pylist())
+
+
+def _arrays(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The lists of a column."""
+    held = column.combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return np.split(held.flatten().to_numpy(zero_copy_only=False).astype(kind), ends[1:-1]) if len(held) else []
+
+
+def _vectors(texts: DataFrame, weights: Weights) -> DataFrame:
+    """``h, doc_id, toxic, at, weight``: the vectors of the examples, made where their texts are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [weights.vector(t) for t in batch["text"].to_pylist()]
+            at, weight = pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.list_(pa.float64()))
+            kept = [batch[c] for c in ("h", "doc_id", "toxic")]
+            yield pa.RecordBatch.from_arrays([*kept, at, weight], ["h", "doc_id", "toxic", "at", "weight"])
+
+    fields = "h long, doc_id long, toxic int, at array<int>, weight array<double>"
+    return texts.select("h", "doc_id", "toxic", "text").mapInArrow(run, fields)
+
+
+def _votes(texts: DataFrame, index: Index) -> DataFrame:
+    """``h, doc_id, toxic, vote`` for the calibration texts."""
+    held = texts.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes = pa.array([held.value.vote(t)[0] for t in batch["text"].to_pylist()], pa.float64())
+            kept = [batch[c] for c in ("h", "doc_id", "toxic")]
+            yield pa.RecordBatch.from_arrays([*kept, votes], ["h", "doc_id", "toxic", "vote"])
+
+    return texts.select("h", "doc_id", "toxic", "text").mapInArrow(run, "h long, doc_id long, toxic int, vote double")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2, **options) -> DataFrame:

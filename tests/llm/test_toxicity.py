@@ -60,7 +60,8 @@ def test_neighbours_are_those_of_all_cosines(monkeypatch, block):
     terms = sorted({t for _, x in docs for t in toxicity.all_terms(x)})[::3]
     rng = np.random.default_rng(0)
     texts = [t for _, t in docs]
-    index = toxicity.Index(terms, rng.uniform(1, 5, len(terms)), list(range(len(texts))), [i % 2 for i in range(len(texts))], texts)
+    weights = toxicity.Weights(terms, rng.uniform(1, 5, len(terms)))
+    index = toxicity.Index(weights, list(range(len(texts))), [i % 2 for i in range(len(texts))], [weights.vector(t) for t in texts])
     dense = np.zeros((len(index.ids), len(terms)))
     for place, i in enumerate(index.ids):
         at, w = index.vector(texts[i])

@@ -98,6 +98,15 @@ def _shares(rules: list[dict], size: int) -> Iterator[list[dict]]:
 def _match_rules(
     pages: DataFrame, rules: list[dict], text: str, headers: str | None, per_share: int
 ) -> DataFrame:
+    evidence = _evidence(rules, text, headers, per_share)
+    kept = [c for c in pages.columns if c not in (text, headers)]
+    return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
+
+
+def _evidence(
+    rules: list[dict], text: str, headers: str | None = None, per_share: int = RULES_PER_SHARE
+) -> Column:
+    """The distinct ``app_name``, ``app_type`` of a page."""
     body = [r for r in rules if r["app_type"] != "headers"]
     certain = [r for r in body if r["texts"]]
     unsure = [r for r in body if not r["texts"]]
@@ -115,9 +124,7 @@ def _match_rules(
     if headers is not None:
         header_rules = [r for r in rules if r["app_type"] == "headers"]
         found.append(_check_headers(header_rules, F.col(headers)))
-    evidence = F.array_distinct(F.concat(*(F.coalesce(f, F.array().cast(_FOUND)) for f in found)))
-    kept = [c for c in pages.columns if c not in (text, headers)]
-    return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
+    return F.array_distinct(F.concat(*(F.coalesce(f, F.array().cast(_FOUND)) for f in found)))
 
 
 def _entry(rules: Column) -> Callable[[Column], Column]:
@@ -213,27 +220,29 @@ def match_headers(headers: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-# An extractor turns a table of pages into rows (page key, kind, value).
-Extractor = Callable[[DataFrame], DataFrame]
+# An extractor is a column, the findings of a page as an array of (kind, value).
+_FINDINGS = "array<struct<kind:string,value:string>>"
 
 
-def technology_extractor(catalog: DataFrame, key: str = "page_id", text: str = "html") -> Extractor:
-    def extract_technologies(pages: DataFrame) -> DataFrame:
-        found = match_pages(pages.select(key, text), catalog, text)
-        kind = F.concat(F.lit("technology:"), "app_type").alias("kind")
-        return found.select(key, kind, F.col("app_name").alias("value"))
+def _finding(kind: Column, value: Column) -> Column:
+    return F.struct(kind.alias("kind"), value.alias("value"))
 
-    return extract_technologies
 
+def technology_extractor(catalog: DataFrame, text: str = "html") -> Column:
+    rules = _rules(catalog.where(F.col("evidence").isin(list(BODY_KINDS))))
+    return F.transform(
+        _evidence(rules, text),
+        lambda found: _finding(F.concat(F.lit("technology:"), found["app_type"]), found["app_name"]),
+    )
 
-def email_extractor(key: str = "page_id", text: str = "html") -> Extractor:
-    def extract_emails(pages: DataFrame) -> DataFrame:
-        found = F.explode(F.array_distinct(find_emails(F.col(text))))
-        return pages.select(key, F.lit("email").alias("kind"), found.alias("value"))
 
-    return extract_emails
+def email_extractor(text: str = "html") -> Column:
+    found = F.array_distinct(find_emails(F.col(text)))
+    return F.transform(found, lambda email: _finding(F.lit("email"), email))
 
 
-def extract(pages: DataFrame, extractors: Sequence[Extractor]) -> DataFrame:
-    """The rows of several extractors over the same pages."""
-    return reduce(DataFrame.unionByName, (run(pages) for run in extractors))
+def extract(pages: DataFrame, extractors: Sequence[Column], key: str = "page_id") -> DataFrame:
+    """The findings of several extractors, in one pass over the pages, which may be a stream."""
+    none = F.array().cast(_FINDINGS)
+    found = F.concat(none, *(F.coalesce(e.cast(_FINDINGS), none) for e in extractors))
+    return pages.select(key, F.explode(found).alias("_found")).select(key, "_found.*")

@@ -436,7 +436,7 @@ STREAM_HOST_WINDOW = """
 WITH facts AS (
   SELECT CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS seen_time_epoch,
          'user-' || user_id AS fqdn_no_www, 'event-' || event_id AS page_url,
-         event_type AS app_name, epoch_us(ts) AS us
+         event_type AS app_name
   FROM events),
 held AS (
   SELECT *, seen_time_epoch - seen_time_epoch % 86400 AS window_start FROM facts),
@@ -450,5 +450,4 @@ pairs AS (
   FROM (SELECT DISTINCT window_start, fqdn_no_www, app_name FROM held) GROUP BY 1, 2)
 SELECT window_start, fqdn_no_www, seen_time_epoch, page_url, name_type_list
 FROM firsts JOIN pairs USING (window_start, fqdn_no_www)
-WHERE rn = 1
-  AND (window_start + 86400) * 1000000 <= (SELECT max(us) FROM facts) - 60000000"""
+WHERE rn = 1"""

@@ -140,7 +140,7 @@ def incremental_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, done = _materialized(spark, sf_dir), work_dir(spark, "done")
     files = url_files.list_files(spark, root)
     url_files.mark_done(files.where(F.contains("path", F.lit(derived.CRAWLS[0]))), done)
-    return url_files.read_unseen(spark, root, url_files.read_done(spark, done))
+    return url_files.read_unseen(spark, root, url_files.read_done(spark, done))[0]
 
 
 def _materialized(spark: SparkSession, sf_dir: str) -> str:
@@ -635,9 +635,9 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.STREAM_HOST_WINDOW)
 def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as facts of their users, held for a day; the last window stays open."""
+    """Events as facts of their users, held for a day, and what is held when they end."""
     epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    events = _stream(spark, sf_dir, "events").select(
+    columns = (
         F.floor(epoch / 1_000_000).alias("seen_time_epoch"),
         F.lit(PROCESS_EPOCH).cast("long").alias("process_time_epoch"),
         F.lit("events").alias("source"),
@@ -647,13 +647,15 @@ def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("app_name"),
         F.timestamp_micros(epoch).alias("seen_ts"),
     )
-    held = fact_stream.stream_host_rollup(events, hold="1 day")
-    return _run(
-        held.select(
-            F.unix_seconds("window.start").alias("window_start"),
-            "fqdn_no_www",
-            "seen_time_epoch",
-            "page_url",
-            _joined("name_type_list").alias("name_type_list"),
-        )
+    rolled = (
+        F.unix_seconds("window.start").alias("window_start"),
+        "fqdn_no_www",
+        "seen_time_epoch",
+        "page_url",
+        _joined("name_type_list").alias("name_type_list"),
     )
+    events = _stream(spark, sf_dir, "events").select(*columns)
+    emitted = _run(fact_stream.stream_host_rollup(events, hold="1 day").select(*rolled))
+    events = table(spark, sf_dir, "events").select(*columns)
+    still_open = fact_stream.open_host_windows(events, hold="1 day")
+    return emitted.unionByName(still_open.select(*rolled))

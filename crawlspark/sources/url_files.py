@@ -46,13 +46,16 @@ def unseen_files(files: DataFrame, done: DataFrame) -> DataFrame:
     return files.join(done.select("path"), "path", "left_anti")
 
 
-def read_unseen(spark: SparkSession, root: str, done: DataFrame) -> DataFrame:
-    """S4 in batch: the files below ``root`` that the done table does not list, and no others.
+def read_unseen(spark: SparkSession, root: str, done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S4 in batch: the rows of the files below ``root`` that the done table does not list, and
+    these files, to be marked once the rows are used.
 
-    Only paths pass through the driver, where Spark keeps the listing of any scan.
+    Files that arrive later are in neither. Only paths pass through the driver, where Spark keeps
+    the listing of any scan.
     """
     todo = [row.path for row in unseen_files(list_files(spark, root), done).toLocalIterator()]
-    return read_selected(spark, todo) if todo else spark.createDataFrame([], SELECTED_URL)
+    rows = read_selected(spark, todo) if todo else spark.createDataFrame([], SELECTED_URL)
+    return rows, spark.createDataFrame([(path,) for path in todo], "path string")
 
 
 def mark_done(files: DataFrame, done_path: str) -> None:

@@ -32,12 +32,28 @@ def stream_host_rollup(
 ) -> DataFrame:
     """One row per host and window of ``hold``, emitted once the watermark passes its end.
 
-    The windows are fixed in time and do not start at a host's first match. The window that is
-    open when the input ends stays open: for finished input ``rollup_hosts`` is complete.
+    The windows are fixed in time and do not start at a host's first match. The windows that are
+    open when finished input ends are those of ``open_host_windows``.
     """
+    return _host_windows(facts.withWatermark(time, delay), hold, time)
+
+
+def open_host_windows(
+    facts: DataFrame, hold: str = "60 seconds", delay: str = "60 seconds", time: str = "seen_ts"
+) -> DataFrame:
+    """The rows that ``stream_host_rollup`` holds back when its input has ended.
+
+    ``facts`` are the same facts in batch. Windows that end after the last watermark were never
+    emitted, and none of their facts came too late.
+    """
+    last = facts.agg(F.max(time) - F.expr(f"interval {delay}")).first()[0]
+    held = facts.where(F.window(time, hold)["end"] > F.lit(last))
+    return _host_windows(held, hold, time)
+
+
+def _host_windows(facts: DataFrame, hold: str, time: str) -> DataFrame:
     return (
-        facts.withWatermark(time, delay)
-        .groupBy(F.window(time, hold), "fqdn_no_www")
+        facts.groupBy(F.window(time, hold), "fqdn_no_www")
         .agg(
             F.min(F.struct(*CARRIER)).alias("first"),
             F.array_sort(F.collect_set(F.struct("app_name", "app_type"))).alias("name_type_list"),

@@ -46,9 +46,10 @@ def stream_cap_per_domain(stream: DataFrame, cap: int) -> DataFrame:
     State is one small count per domain and is never evicted, so the cap is exact. Pages of one
     trigger are ranked in the order of the batch operator, after those of earlier triggers.
 
-    Before the shuffle every task drops what cannot be among the first ``cap`` of its own rows, so
-    that a trigger full of one domain does not meet in one task. Homepages among the dropped go
-    around the count, spread over groups of their own.
+    Before the shuffle every Arrow batch drops what cannot be among its first ``cap`` rows of a
+    domain, so a trigger full of one domain sends ``cap`` rows a batch to one task, which holds the
+    best ``cap`` and one batch at a time. Homepages among the dropped go around the count, spread
+    over groups of their own.
     """
     if cap == 0:
         return stream
@@ -76,11 +77,15 @@ def stream_cap_per_domain(stream: DataFrame, cap: int) -> DataFrame:
             for batch in batches:
                 yield batch[columns]
             return
-        rows = pd.concat(batches).sort_values(order, kind="stable")
-        before = state.get[0] if state.exists else 0
-        state.update((min(before + len(rows), cap),))
-        keep = (before + pd.RangeIndex(len(rows)) < cap) | rows["_home"].to_numpy()
-        yield rows[keep][columns]
+        room = cap - (state.get[0] if state.exists else 0)
+        best = None
+        for batch in batches:
+            rows = batch if best is None else pd.concat([best, batch])
+            rows = rows.sort_values(order, kind="stable")
+            best, beyond = rows.iloc[:room], rows.iloc[room:]
+            yield beyond[beyond["_home"]][columns]
+        state.update((cap - room + len(best),))
+        yield best[columns]
 
     return (
         keyed.mapInPandas(thin, keyed.schema)

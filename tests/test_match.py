@@ -154,4 +154,5 @@ def test_extractors(spark):
     pages = spark.createDataFrame([(1, "wp-content a@b.cc a@b.cc"), (2, "")], "page_id int, html string")
     catalog = catalog_rows(spark, [("WP", "html", None, "wp-content")])
     rows = match.extract(pages, [match.technology_extractor(catalog), match.email_extractor()])
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
     assert found(rows) == {(1, "technology:html", "WP"), (1, "email", "a@b.cc")}

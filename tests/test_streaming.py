@@ -104,3 +104,21 @@ def test_hosts_are_held(spark, tmp_path, fact_files):
     rows = run(fact_stream.stream_host_rollup(stream()), tmp_path / "out").collect()
     got = {(r.fqdn_no_www, r.page_url, tuple(p.app_name for p in r.name_type_list)) for r in rows}
     assert got == {("a", "p2", ("X", "Y")), ("a", "p", ("Z",)), ("b", "p", ("X",))}
+    facts = spark.read.schema(MATCH_FACT).option("recursiveFileLookup", True).json(str(tmp_path / "facts"))
+    facts = facts.withColumn("seen_ts", F.timestamp_seconds("seen_time_epoch"))
+    left = fact_stream.open_host_windows(facts).collect()
+    assert [(r.fqdn_no_www, r.page_url) for r in left] == [("c", "p")]
+
+
+def test_cap_beyond_a_batch(spark, tmp_path):
+    urls = [f"https://a.com/{i}" for i in range(900)] + ["https://a.com"]
+    write(tmp_path / "in" / "a.gz", urls)
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        stream = url_stream.stream_selected(spark, str(tmp_path / "in"))
+        kept = run(url_stream.stream_cap_per_domain(stream, 350), tmp_path / "out")
+        batch = select_urls.cap_per_domain(spark.read.schema(SELECTED_URL).json(str(tmp_path / "in")), 350)
+        assert pairs(kept) == pairs(batch) and kept.count() in (350, 351)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)

@@ -38,11 +38,17 @@ def test_unseen(spark, tmp_path):
 
     files = url_files.list_files(spark, str(root))
     url_files.mark_done(files.where(F.endswith("path", F.lit("x.gz"))), done)
-    rows = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    rows, read = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    write(root / "z.gz", line("u3"))  # arrives between reading and marking
     assert [r.url for r in rows.collect()] == ["u2"]
 
-    url_files.mark_done(url_files.unseen_files(files, url_files.read_done(spark, done)), done)
-    rows = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    url_files.mark_done(read, done)
+    rows, read = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    assert [r.url for r in rows.collect()] == ["u3"]
+
+    url_files.mark_done(read, done)
+    rows, read = url_files.read_unseen(spark, str(root), url_files.read_done(spark, done))
+    assert read.count() == 0
     assert rows.collect() == [] and rows.schema == SELECTED_URL
 
 

@@ -1,4 +1,8 @@
-"""Dictionary lookups as joins."""
+"""Dictionary lookups as joins.
+
+How a join runs is left to Spark, which knows the sizes once the sides are computed: a small side is
+broadcast, and values that many rows share are split.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.crawls import crawl_epoch
-from crawlspark.runtime import broadcast_if_small, fits_in_memory, work_dir
+from crawlspark.runtime import work_dir
 
 
 def crawl_calendar(crawls: DataFrame) -> DataFrame:
@@ -26,32 +30,26 @@ def with_crawl_epoch(
     if calendar is None:
         return df.withColumn(name, computed)
     listed = calendar.select("crawl", F.col("epoch").alias("_listed"))
-    joined = df.join(broadcast_if_small(listed), "crawl", "left")
+    joined = df.join(listed, "crawl", "left")
     return joined.withColumn(name, F.coalesce("_listed", computed)).drop("_listed")
 
 
 def with_app_id(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Name to id."""
-    return df.join(broadcast_if_small(dim), "app_name", "left")
+    return df.join(dim, "app_name", "left")
 
 
 def with_app_name(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Id to name."""
-    return df.join(broadcast_if_small(dim), "app_id", "left")
+    return df.join(dim, "app_id", "left")
 
 
 def dense_ids(df: DataFrame, order: str, name: str) -> DataFrame:
     """Number the rows from 1 by ``order``, whose values are distinct.
 
-    A small table takes one window. A large one is sorted across all tasks and written out; the
-    ids are then the position in the written part plus the size of the parts before it.
+    The table is sorted across all tasks and written out, whatever its size; the ids are then the
+    position in the written part plus the size of the parts before it.
     """
-    if fits_in_memory(df):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))
-    return _dense_ids_distributed(df, order, name)
-
-
-def _dense_ids_distributed(df: DataFrame, order: str, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, "dense-ids")
     # monotonically_increasing_id: part number in the high bits, position in the part in the low

@@ -63,10 +63,26 @@ def match_pages(
     patterns are applied too. Both columns are left out of the result. Every page row is read once
     and gives its own rows, whatever the size of the catalog; ``pages`` may be a stream.
     """
+    found = technologies(pages, catalog, text, headers, kinds, rules_per_share, "_found")
+    kept = [c for c in pages.columns if c not in (text, headers)]
+    return found.select(*kept, F.explode("_found").alias("_found")).select(*kept, "_found.*")
+
+
+def technologies(
+    pages: DataFrame,
+    catalog: DataFrame,
+    text: str = "html",
+    headers: str | None = None,
+    kinds: Sequence[str] = BODY_KINDS,
+    rules_per_share: int = RULES_PER_SHARE,
+    name: str = "found",
+) -> DataFrame:
+    """The same with a row for every page, which holds its (app_name, app_type) as ``name``."""
     if headers is not None:
         kinds = [*kinds, "headers"]
-    wanted = catalog.where(F.col("evidence").isin(list(kinds)))
-    return _match_rules(pages, _rules(wanted), text, headers, rules_per_share)
+    rules = _rules(catalog.where(F.col("evidence").isin(list(kinds))))
+    kept = [c for c in pages.columns if c not in (text, headers)]
+    return pages.select(*kept, _evidence(rules, text, headers, rules_per_share).alias(name))
 
 
 def _rules(catalog: DataFrame) -> list[dict]:
@@ -95,14 +111,6 @@ def _shares(rules: list[dict], size: int) -> Iterator[list[dict]]:
         yield rules[start : start + size]
 
 
-def _match_rules(
-    pages: DataFrame, rules: list[dict], text: str, headers: str | None, per_share: int
-) -> DataFrame:
-    evidence = _evidence(rules, text, headers, per_share)
-    kept = [c for c in pages.columns if c not in (text, headers)]
-    return pages.select(*kept, F.explode(evidence).alias("_found")).select(*kept, "_found.*")
-
-
 def _evidence(
     rules: list[dict], text: str, headers: str | None = None, per_share: int = RULES_PER_SHARE
 ) -> Column:

@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlspark.functions.payload import http_body, http_headers
+from crawlspark.functions.payload import decode_payload, http_body, http_headers
 from crawlspark.operators.emails import emails_by_host
-from crawlspark.operators.match import match_pages
+from crawlspark.operators.match import technologies
 from crawlspark.operators.rollup import observed, rollup_hosts, to_facts
 from crawlspark.operators.select_urls import (
+    URL_COLUMNS,
     cap_per_domain,
     count_root_pages,
     root_pages,
     select_root_urls,
 )
+from crawlspark.runtime import work_dir
 from crawlspark.sources.crawl_index import materialize, read_index
-from crawlspark.sources.url_files import read_selected, write_rolled
-from crawlspark.sources.warc import page_texts, read_records
+from crawlspark.sources.url_files import mark_done, read_done, read_selected, read_unseen, write_rolled
+from crawlspark.sources.warc import failed_records, read_records
 from crawlspark.streaming.url_stream import stream_cap_per_domain
 
 DEFAULT_CAP = 3
@@ -35,33 +37,52 @@ def index_selection(
     materialize(chosen.withColumn("crawl_id", F.col("crawl")), out, fmt, partition_by=["crawl_id"])
 
 
-def technology_facts(
+def technology_findings(
     wanted: DataFrame,
     archive_uri: str,
     catalog: DataFrame,
-    process_epoch: int | None = None,
     scan_scope: str = "body",
     partitions: int | None = None,
-) -> tuple[DataFrame, Observation]:
-    """The technologies of selected URLs: fetch, decode, match.
+) -> DataFrame:
+    """Every selected URL with the technologies ``found`` in its page, or the ``error`` of its fetch.
 
     Each page is fetched and read once for all kinds of evidence. ``scan_scope`` is ``body`` or
-    ``full`` (HTTP head and body, Q20). The observation counts fetched and failed records while
-    the result is used.
+    ``full`` (HTTP head and body, Q20).
     """
     if scan_scope not in ("body", "full"):
         raise ValueError(f"unknown scan scope {scan_scope!r}; expected body or full")
-    fetched, counters = observed(
-        read_records(wanted, archive_uri, partitions), failed=F.col("error").isNotNull()
-    )
-    text = F.col("text")
-    pages = page_texts(fetched).select(
-        "url",
-        "crawl",
+    text = decode_payload(F.col("payload"))
+    # without a payload there is no text, and nothing is found
+    pages = read_records(wanted, archive_uri, partitions).select(
+        *URL_COLUMNS,
+        "error",
         (http_body(text) if scan_scope == "body" else text).alias("html"),
         http_headers(text).alias("headers"),
     )
-    return to_facts(match_pages(pages, catalog, headers="headers"), process_epoch), counters
+    return technologies(pages, catalog, headers="headers")
+
+
+def technology_facts(findings: DataFrame, process_epoch: int | None = None) -> DataFrame:
+    """The facts of ``technology_findings``."""
+    found = findings.select("url", "crawl", F.explode("found").alias("_found"))
+    return to_facts(found.select("url", "crawl", "_found.*"), process_epoch)
+
+
+def rejects_of(out: str) -> str:
+    """The folder for failed fetches beside that of the results."""
+    return f"{out.rstrip('/')}-rejects"
+
+
+def _scan(wanted: DataFrame, archive_uri: str, catalog: DataFrame, rejects: str, **options) -> tuple[DataFrame, Observation]:
+    """Findings that are fetched and written once, with the failed ones as JSON lines in ``rejects``."""
+    findings, counters = observed(
+        technology_findings(wanted, archive_uri, catalog, **options), failed=F.col("error").isNotNull()
+    )
+    path = work_dir(wanted.sparkSession, "findings")
+    findings.where(F.col("error").isNotNull() | (F.size("found") > 0)).write.parquet(path)
+    written = wanted.sparkSession.read.schema(findings.schema).parquet(path)
+    failed_records(written).drop("found").write.mode("overwrite").json(rejects)
+    return written, counters
 
 
 def technology_scan(
@@ -70,15 +91,34 @@ def technology_scan(
     catalog: DataFrame,
     out: str,
     cap: int = DEFAULT_CAP,
+    process_epoch: int | None = None,
     **options,
 ) -> Observation:
-    """B2: the technologies of every host of a crawl as JSON lines.
+    """B2: the technologies of every host of a crawl as JSON lines, and the URLs whose fetch failed,
+    with the reason, in ``rejects_of(out)``.
 
-    The cap and the root filter come before the fetch, which is the expensive step.
+    The cap and the root filter come before the fetch, which is the expensive step. What is found is
+    written before it is rolled up, so a lost executor costs no second fetch. The observation counts
+    fetched and failed records.
     """
     wanted = root_pages(cap_per_domain(selected, cap))
-    facts, counters = technology_facts(wanted, archive_uri, catalog, **options)
-    write_rolled(rollup_hosts(facts), out)
+    findings, counters = _scan(wanted, archive_uri, catalog, rejects_of(out), **options)
+    write_rolled(rollup_hosts(technology_facts(findings, process_epoch)), out)
+    return counters
+
+
+def technology_scan_unseen(
+    spark: SparkSession, root: str, done_path: str, archive_uri: str, catalog: DataFrame, out: str, **options
+) -> Observation:
+    """B2 over the files of selected URLs below ``root`` that the done table does not list.
+
+    They are listed there once the results are written: a run that fails is repeated whole. The cap
+    holds within a run, and every run needs an ``out`` of its own.
+    """
+    mark_done(spark.createDataFrame([], "path string"), done_path)  # there may be no table yet
+    selected, files = read_unseen(spark, root, read_done(spark, done_path))
+    counters = technology_scan(selected, archive_uri, catalog, out, **options)
+    mark_done(files, done_path)
     return counters
 
 
@@ -89,17 +129,19 @@ def technology_stream(
     out: str,
     checkpoint: str,
     cap: int = DEFAULT_CAP,
+    process_epoch: int | None = None,
     **options,
 ) -> StreamingQuery:
-    """B2 over a stream of selected URLs (T1, T4): match facts as JSON lines.
+    """B2 over a stream of selected URLs (T1, T4): match facts as JSON lines, and failed fetches in
+    ``rejects_of(out)``.
 
-    A trigger writes to a folder of its own and replaces it if it runs again, so every fact is
+    A trigger writes to folders of its own and replaces them if it runs again, so every fact is
     written once. The host rows are ``rollup_hosts`` of the facts.
     """
 
     def scan(wanted: DataFrame, number: int) -> None:
-        facts, _ = technology_facts(wanted, archive_uri, catalog, **options)
-        facts.write.mode("overwrite").json(f"{out}/trigger={number}")
+        findings, _ = _scan(wanted, archive_uri, catalog, f"{rejects_of(out)}/trigger={number}", **options)
+        technology_facts(findings, process_epoch).write.mode("overwrite").json(f"{out}/trigger={number}")
 
     return (
         root_pages(stream_cap_per_domain(selected, cap))

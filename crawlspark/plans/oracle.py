@@ -269,6 +269,19 @@ signatures AS (
 SELECT DISTINCT page_id, app_name, app_type
 FROM pages JOIN signatures ON regexp_matches(html, '(?sm)(?:' || pattern || ')')"""
 
+TECH_REPEATED_PAGES = f"""
+SELECT page_id, app_name, app_type, CAST(2 AS BIGINT) AS times FROM ({TECH_MANY_SIGNATURES})"""
+
+TECH_LINE_ENDS = """
+WITH bodies AS (
+  SELECT page_id, replace(html, '>', '>' || CASE page_id % 5
+    WHEN 0 THEN chr(10) WHEN 1 THEN chr(13) WHEN 2 THEN chr(13) || chr(10)
+    WHEN 3 THEN chr(133) ELSE chr(8232) END) AS body
+  FROM pages)
+SELECT DISTINCT page_id, app_name, 'html' AS app_type
+FROM bodies JOIN (VALUES ('Paragraph', '^<p>'), ('Text End', '</p>$'), ('Page End', '</html>$')) s(app_name, pattern)
+  ON regexp_matches(body, '(?sm)(?:' || pattern || ')')"""
+
 
 def _sunday(year: str, week: str) -> str:
     return (
@@ -402,6 +415,12 @@ SELECT url, CAST(200 AS BIGINT) AS http_status, md5(response) AS payload_md5 FRO
 FETCH_OUTCOMES = """
 SELECT page_id, count(*) AS "read", 2 * count(*) AS failed FROM pages GROUP BY page_id"""
 
+SCAN_REJECTS = """
+SELECT regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/' || page_id AS url,
+       CASE page_id % 3 WHEN 0 THEN 'ValueError' ELSE 'FileNotFoundError' END AS reason,
+       unnest(['batch', 'stream']) AS via
+FROM pages WHERE page_id % 3 < 2"""
+
 # The archived record of a URL holds the page that the URL was derived from.
 TECHNOLOGY_SCAN_JOB = _by_host(
     f"""{RANKED},{_CATALOG},

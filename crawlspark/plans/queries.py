@@ -1,4 +1,4 @@
-"""Queries over the test tables, each with the SQL that gives the same rows (None: not in SQL)."""
+"""Queries over the test tables, each with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
@@ -359,13 +359,25 @@ def tech_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.TECH_MANY_SIGNATURES)
 def tech_many_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1, J2 with a large catalog: the links and the track numbers of all pages."""
-    pages = derived.pages_to_search(spark, sf_dir)
+    pages = derived.pages_to_search(spark, sf_dir).select("page_id", "html")
+    return match.match_pages(pages, _many_signatures(pages))
+
+
+@query(oracle.TECH_REPEATED_PAGES)
+def tech_repeated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: every page twice, against a catalog that travels as many constants."""
+    pages = derived.pages_to_search(spark, sf_dir).select("page_id", "html")
+    found = match.match_pages(pages.unionByName(pages), _many_signatures(pages), rules_per_share=100)
+    return found.groupBy("page_id", "app_name", "app_type").agg(F.count("*").alias("times"))
+
+
+def _many_signatures(pages: DataFrame) -> DataFrame:
     links = F.regexp_extract_all("html", F.lit(r'<a href="/([^"]+)">'), F.lit(1))
     numbers = F.regexp_extract_all("html", F.lit(r"track\((\d+)\)"), F.lit(1))
     quoted = F.regexp_replace("word", r"([.^$|?*+(){}\[\]\\])", r"\\$1")
     words = pages.select(F.explode(links).alias("word")).distinct()
     calls = pages.select(F.explode(numbers).alias("word")).distinct()
-    signatures = words.select(
+    return words.select(
         F.concat(F.lit("link "), "word").alias("app_name"),
         F.lit("html").alias("evidence"),
         F.lit(None).cast("string").alias("header_name"),
@@ -378,7 +390,17 @@ def tech_many_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(r"track\("), "word", F.lit(r"\);?</script>")).alias("pattern"),
         )
     )
-    return match.match_pages(pages.select("page_id", "html"), signatures)
+
+
+@query(oracle.TECH_LINE_ENDS)
+def tech_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchored patterns on pages whose tags end in one of five line ends."""
+    ends = F.array(*(F.lit(e) for e in ("\n", "\r", "\r\n", "\x85", "\u2028")))
+    end = F.element_at(ends, (F.col("page_id") % 5 + 1).cast("int"))
+    body = F.replace("html", F.lit(">"), F.concat(F.lit(">"), end)).alias("html")
+    rows = [("Paragraph", "html", None, "^<p>"), ("Text End", "html", None, "</p>$"), ("Page End", "html", None, "</html>$")]
+    pages = derived.pages_to_search(spark, sf_dir).select("page_id", body)
+    return match.match_pages(pages, catalog.catalog_rows(spark, rows))
 
 
 @query(oracle.HEADERS_PARSED)
@@ -563,6 +585,35 @@ def technology_scan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.withColumn("name_type_list", _joined("name_type_list"))
 
 
+@query(oracle.SCAN_REJECTS)
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job and a stream report of records that are cut short or not there."""
+    index, uri = derived.archived_pages(spark, sf_dir)
+    third = F.col("page_id") % 3
+    urls_of = F.concat(F.regexp_extract("url", derived.ORIGIN, 1), F.lit("/"), "page_id")
+    broken = index.select(
+        urls_of.alias("url"),
+        F.when(third == 1, "missing.warc.gz").otherwise(F.col("warc_filename")).alias("warc_filename"),
+        "warc_record_offset",
+        (F.col("warc_record_length") - F.when(third == 0, 10).otherwise(0)).alias("warc_record_length"),
+        "crawl",
+    )
+    root, out = work_dir(spark, "selected"), work_dir(spark, "rejected")
+    crawl_index.materialize(broken, root)
+    rules = derived.sample_catalog(spark)
+    jobs.technology_scan_unseen(spark, root, f"{out}-done", uri, rules, f"{out}-batch", cap=0)
+    running = jobs.technology_stream(
+        url_stream.stream_selected(spark, root), uri, rules, f"{out}-stream", f"{out}-checkpoint", cap=0
+    )
+    running.awaitTermination()
+
+    def rejects(via: str) -> DataFrame:
+        rows = spark.read.schema("url string, error string").json(jobs.rejects_of(f"{out}-{via}"))
+        return rows.select("url", F.substring_index("error", ":", 1).alias("reason"), F.lit(via).alias("via"))
+
+    return rejects("batch").unionByName(rejects("stream"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ decided by Spark.
 from __future__ import annotations
 
 import io
+import time
 import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -26,6 +27,9 @@ from crawlspark.schemas import ARCHIVE_RECORD
 READ_CHUNK_BYTES = 64 * 1024 * 1024
 # Reads that a task has under way at a time
 READ_THREADS = 16
+# A read that the storage refuses is tried so often, after a pause that doubles
+READ_ATTEMPTS = 3
+PAUSE_SECONDS = 0.5
 # One task scans this much of an archive
 SPLIT_BYTES = 128 * 1024 * 1024
 # Rows go back to Spark once they hold this much
@@ -44,7 +48,8 @@ def read_records(
     """Add ``payload`` and ``error`` to URLs with file, offset and length.
 
     ``payload`` is the content of the record at the offset, HTTP head and body. A record that
-    cannot be read has a null payload and the reason in ``error``.
+    cannot be read has a null payload and the reason in ``error``; errors of the storage, but for a
+    missing file, are tried ``READ_ATTEMPTS`` times first.
 
     The rows are small but each costs a read, so the number of tasks is set here and not derived
     from the size of the rows, and a task has several reads under way. A file with very many rows
@@ -71,12 +76,19 @@ def read_records(
         opened = lru_cache(maxsize=4)(lambda name: open_storage(f"{base}/{name}"))
 
         def read(row: tuple) -> tuple:
-            try:
-                length, offset = int(row.warc_record_length), int(row.warc_record_offset)
-                member = opened(row.warc_filename).read_at(length, offset)
-                return (*row, record_content(unpack(member))[1], None)
-            except (OSError, ValueError, TypeError, zlib.error) as problem:
-                return (*row, None, f"{type(problem).__name__}: {problem}")
+            for attempt in range(READ_ATTEMPTS):
+                try:
+                    length, offset = int(row.warc_record_length), int(row.warc_record_offset)
+                    member = opened(row.warc_filename).read_at(length, offset)
+                    return (*row, record_content(unpack(member))[1], None)
+                except (OSError, ValueError, TypeError, zlib.error) as problem:
+                    reason = f"{type(problem).__name__}: {problem}"
+                    passing = isinstance(problem, OSError) and not isinstance(problem, FileNotFoundError)
+                    if not passing or attempt + 1 == READ_ATTEMPTS:
+                        break
+                    opened.cache_clear()
+                    time.sleep(PAUSE_SECONDS * 2**attempt)
+            return (*row, None, reason)
 
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
@@ -107,7 +119,7 @@ def scan_archives(
 
     An archive is cut into ranges that separate tasks read; a record belongs to the range that its
     first byte is in. Members that cannot be unpacked give a row with ``error``, and reading goes on
-    at the next one.
+    at the next one. The rows are the same however the archives are cut.
     """
     starts = F.sequence(
         F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long")
@@ -205,9 +217,13 @@ def describe(content: bytes | None, error: str | None) -> tuple:
 
 
 def members(file, start: int, end: int) -> Iterator[tuple[int, bytes | None, str | None]]:
-    """Offset, content and error of the gzip members that begin in ``[start, end)``."""
+    """Offset, content and error of the members of the range ``[start, end)``.
+
+    They are the records that begin in it, and what follows one of them without being a record: the
+    range after this one cannot tell such bytes from the inside of a member.
+    """
     offset = start if start == 0 else next_member(file, start, end)
-    while offset is not None and offset < end:
+    while offset is not None and (offset < end or not starts_record(file, offset)):
         content, length, error = read_member(file, offset)
         if length == 0:
             return

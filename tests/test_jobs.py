@@ -60,6 +60,8 @@ def test_from_index_to_hosts(spark, crawl):
     assert rows.keys() == {"a.com", "b.com"}
     pairs = [tuple(p) for p in rows["a.com"].name_type_list]
     assert pairs == [("Track", "scripts"), ("WP", "html"), ("nginx", "headers")]
+    rejects = spark.read.json(str(crawl / "out-rejects")).collect()
+    assert [(r.url, r.warc_filename, r.error.split(":")[0]) for r in rejects] == [("https://c.com/", "no.gz", "FileNotFoundError")]
     assert rows["a.com"].seen_time_epoch == 1602374400
     line = json.loads(next((crawl / "out").glob("part-*")).read_text().splitlines()[0])
     assert line["process_time_epoch"] == 9
@@ -70,10 +72,10 @@ def test_scan_scope(spark, crawl):
     selected = index.select("url", "warc_filename", "warc_record_offset", "warc_record_length", "crawl")
 
     def apps(scope):
-        facts, _ = jobs.technology_facts(
+        findings = jobs.technology_findings(
             selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG), scan_scope=scope
         )
-        return {r.app_name for r in facts.collect()}
+        return {r.app_name for r in jobs.technology_facts(findings).collect()}
 
     assert apps("full") - apps("body") == {"Status"}
     with pytest.raises(ValueError, match="scan scope"):
@@ -82,8 +84,21 @@ def test_scan_scope(spark, crawl):
 
 def test_pages_are_fetched_once(spark, crawl, plan):
     selected = spark.read.parquet(str(crawl / "index")).drop("subset")
-    facts, _ = jobs.technology_facts(selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG))
-    assert plan(facts).count("MapInPandas") == 1
+    findings = jobs.technology_findings(selected, f"file://{crawl}/archive", catalog_rows(spark, CATALOG))
+    assert plan(jobs.technology_facts(findings)).count("MapInPandas") == 1
+
+
+def test_files_are_scanned_once(spark, crawl):
+    root, done = str(crawl / "selected"), str(crawl / "done")
+    jobs.index_selection(spark, str(crawl / "index"), ["CC-MAIN-2020-40"], root)
+
+    def scan(out):
+        catalog = catalog_rows(spark, CATALOG)
+        counters = jobs.technology_scan_unseen(spark, root, done, f"file://{crawl}/archive", catalog, str(crawl / out))
+        return counters.get, spark.read.schema(HOST_ROLLUP).json(str(crawl / out)).count()
+
+    assert scan("first") == ({"rows": 4, "failed": 0}, 2)
+    assert scan("second") == ({"rows": 0, "failed": 0}, 0)
 
 
 def test_stream(spark, crawl):

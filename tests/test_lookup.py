@@ -4,14 +4,11 @@ from crawlspark.operators import lookup
 from crawlspark.runtime import broadcast_if_small, fits_in_memory
 
 
-def test_dense_ids_both_ways(spark):
+def test_dense_ids(spark):
     names = spark.range(1000).select(F.format_string("%04d", F.pmod(F.col("id") * 37, 1000)).alias("n"))
     names = names.repartition(7)
-    small = lookup.dense_ids(names, "n", "id")
-    large = lookup._dense_ids_distributed(names, "n", "id")
-    expected = [(f"{i:04d}", i + 1) for i in range(1000)]
-    assert sorted(small.collect()) == expected
-    assert sorted(large.collect()) == expected
+    assert sorted(lookup.dense_ids(names, "n", "id").collect()) == [(f"{i:04d}", i + 1) for i in range(1000)]
+    assert lookup.dense_ids(names.limit(0), "n", "id").collect() == []
 
 
 def test_app_ids(spark):

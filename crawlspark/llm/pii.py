@@ -7,6 +7,7 @@ import hmac
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import count
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from crawlspark.llm.common import bound_batches, saved
 
 KEY = b"change me: the key decides every surrogate"
-MAX_ATTEMPTS = 64
+#: After so many attempts the format of an entity counts as full: further ones are longer than it.
+SAME_FORMAT = 8
+#: The most characters of a real value, for types whose longer surrogates pass them.
+LONGEST = {"phone": 15, "card": 19, "ssn": 9, "iban": 34}
 
 # Titles that tell a name, with the gender they tell. Fixed values.
 TITLES = {
@@ -102,6 +106,9 @@ def _entity(match: re.Match) -> Mention | None:
         return Mention(start, end, kind, digits) if (8 if text[0] in "+(" else 9) <= len(digits) <= 15 else None
     if kind == "ssn":
         return Mention(start, end, kind, _digits(text))
+    if kind == "secret" and not any(map(str.isalnum, text)):
+        # masked already
+        return None
     return Mention(start, end, kind, text)
 
 
@@ -190,13 +197,22 @@ def _code(stream: _Stream, value: str) -> str:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """What stands for an entity: the same type, length class, alphabet, script and gender, by the key alone."""
+    """What stands for an entity: the same type, length class, alphabet, script and gender, by the key alone.
+
+    Later attempts are longer and longer, so that every entity comes to one of its own.
+    """
     stream = _Stream(key, kind, value, str(attempt))
+    wider = 4 * (attempt // SAME_FORMAT)
+    if wider and kind in LONGEST:
+        value += "0" * (LONGEST[kind] + wider - len(value))
     if kind == "email":
         local, _, domain = value.partition("@")
         # one domain has one surrogate; .example is nobody's
         site = _Stream(key, "domain", domain)
-        return "".join(map(stream.like, local)) + "@" + "".join(map(site.like, domain.rpartition(".")[0])) + ".example"
+        return "".join(map(stream.like, local + "0" * wider)) + "@" + "".join(map(site.like, domain.rpartition(".")[0])) + ".example"
+    if kind == "ip" and wider:
+        # there are no more of version 4; this prefix is nobody's
+        return "2001:db8:" + ":".join(f"{stream.below(65536):x}" for _ in range(6))
     if kind == "ip":
         return f"{1 + stream.below(223)}.{stream.below(256)}.{stream.below(256)}.{1 + stream.below(254)}"
     if kind == "card":
@@ -212,10 +228,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[stream.below(32)] for _ in value[4:])
     if kind.startswith(("first", "last")):
         _, gender, script = kind.split("_")
-        count = 2 + stream.below(2) + attempt // 8
-        name = "".join(SYLLABLES[script][stream.below(len(SYLLABLES[script]))] for _ in range(count))
+        syllables = 2 + stream.below(2) + attempt // SAME_FORMAT
+        name = "".join(SYLLABLES[script][stream.below(len(SYLLABLES[script]))] for _ in range(syllables))
         return name + ENDINGS[script][gender]
-    return _code(stream, value)
+    return _code(stream, value + "0" * wider)
 
 
 def rendered(mention: Mention, text: str, other: str) -> str:
@@ -223,7 +239,7 @@ def rendered(mention: Mention, text: str, other: str) -> str:
     own = text[mention.start : mention.end]
     if mention.kind in ("card", "phone", "ssn", "iban"):
         kept = iter(other)
-        out = "".join(next(kept) if c.isalnum() else c for c in own)
+        out = "".join(next(kept) if c.isalnum() else c for c in own) + "".join(kept)
         code = re.match(r"\+(\d{1,3})[ .(-]", own)
         if mention.kind == "phone" and code:
             out = "+" + code[1] + out[len(code[1]) + 1 :]
@@ -237,6 +253,8 @@ def rendered(mention: Mention, text: str, other: str) -> str:
 
 def comparable(kind: str, value: str, other: str) -> str:
     """What two surrogates must differ in: a phone keeps its country code, so that is left out."""
+    if kind == "phone" and len(other) > LONGEST[kind]:
+        return other[3:]
     return other[-9:] if kind == "phone" and len(value) > 9 else other
 
 
@@ -277,7 +295,8 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
 
     All entities try at once. A surrogate that is also a real value of the type, or that was given to
     another entity, is no one's: of several that try the same at once the first by value has it. The
-    others try again. Every step is a join or an aggregate over written tables.
+    others try again, with longer surrogates where a format is full, until none is left. Every step is a
+    join or an aggregate over written tables.
     """
 
     def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +314,7 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
     pending = found.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
     real = saved(found.select("kind", comparable_value().alias("other")).distinct(), "real-values")
     done = []
-    for round_ in range(MAX_ATTEMPTS):
+    for round_ in count():
         tries = saved(pending.mapInArrow(tried, schema), "tries")
         free = tries.join(real, ["kind", "other"], "left_anti")
         for earlier in done:
@@ -310,8 +329,6 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
         )
         if pending.isEmpty():
             break
-    else:
-        raise ValueError(f"{MAX_ATTEMPTS} attempts left entities without a surrogate: their formats have too few values")
     out = done[0]
     for won in done[1:]:
         out = out.unionByName(won)

@@ -97,3 +97,31 @@ def test_later_attempts_reach_the_texts(frame, monkeypatch):
     docs = frame([(1, "bo@x.org al@x.org"), (2, "bo@x.org"), (None, "bo@x.org"), (3, "al@x.org")], "doc_id long, text string")
     two, zero = pii.surrogate(KEY, "email", "bo@x.org", 2), pii.surrogate(KEY, "email", "al@x.org", 0)
     assert sorted(r["text"] for r in pii.with_surrogates(docs, KEY).collect()) == sorted([f"{two} {zero}", two, two, zero])
+
+
+@pytest.mark.parametrize("text", ["Password: ********", "secret: ......", "auth = ------", "pwd=______"])
+def test_masked_secrets_stay(frame, text):
+    assert kinds(text) == [] and kinds(text + " bo@x.org") == [("email", "bo@x.org")]
+    assert [r["text"] for r in pii.with_surrogates(frame([(1, text)], "doc_id long, text string"), KEY).collect()] == [text]
+
+
+def test_full_formats_get_longer_surrogates(frame):
+    emails = [f"{a}{b}@x.org" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    # every two-letter address is real at what stands for x.org, too
+    there = pii.surrogate(KEY, "email", "a@x.org", 0).partition("@")[2]
+    emails += [e.replace("x.org", there) for e in emails]
+    found = [("email", e) for e in emails] + [("secret", f"*****{i}") for i in range(10)]
+    done = pii.assigned(frame([(1, *f) for f in found], "doc_id long, kind string, value string"), KEY).collect()
+    assert {(r["kind"], r["value"]) for r in done} == set(found) and len(done) == len(found)
+    others = {(r["kind"], pii.surrogate(KEY, r["kind"], r["value"], r["attempt"])) for r in done}
+    assert len(others) == len(found) and not others & set(found)
+
+
+@pytest.mark.parametrize("text", ["+1 (942) 555-3818", "4991 7588 7938 6430", "123-45-6789", "GB82 WEST 1234 5698 7654 32", "83.162.33.211"])
+def test_later_attempts_are_no_real_values(text):
+    (m,) = pii.mentions(text)
+    later = [pii.surrogate(KEY, m.kind, m.value, a) for a in range(pii.SAME_FORMAT, 4 * pii.SAME_FORMAT)]
+    assert len({pii.comparable(m.kind, m.value, x) for x in later}) == len(later)
+    assert len({pii.rendered(m, text, x) for x in later}) == len(later)
+    if m.kind != "ip":
+        assert all(len(x) > pii.LONGEST[m.kind] for x in later)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions import patterns
 from crawlspark.functions.emails import find_emails
-from crawlspark.runtime import broadcast_if_small
+from crawlspark.runtime import broadcast_if_small, work_dir
 
 BODY_KINDS = ("html", "scripts")
 
@@ -39,7 +39,10 @@ LITERAL_MAX = 64
 # Rules that travel to the tasks as one constant; a larger catalog is several
 RULES_PER_SHARE = 5_000
 
-# What a catalog may hold when its alternatives are split
+# Constants of one plan: tasks with many more cannot be serialized, so shares grow instead
+MAX_SHARES = 20
+
+# What a catalog may hold when its alternatives are split; match_any takes more, in parts
 MAX_RULES = 200_000
 
 _FOUND = "array<struct<app_name:string,app_type:string>>"
@@ -49,6 +52,10 @@ _RULES = (
 )
 
 
+class TooManyRules(ValueError):
+    """A catalog is larger than what one pass over the pages takes."""
+
+
 def match_pages(
     pages: DataFrame,
     catalog: DataFrame,
@@ -61,13 +68,54 @@ def match_pages(
 
     ``text`` is searched by the patterns of ``kinds``. With ``headers``, a map column, the header
     patterns are applied too. Both columns are left out of the result. Every page row is read once
-    and gives its own rows, whatever the size of the catalog; ``pages`` may be a stream.
+    and gives its own rows, for catalogs of up to MAX_RULES; ``pages`` may be a stream.
     """
     found = technologies(pages, catalog, text, headers, kinds, rules_per_share, "_found")
     kept = [c for c in pages.columns if c not in (text, headers)]
     return found.select(*kept, F.explode("_found").alias("_found")).select(*kept, "_found.*")
 
 
+def match_any(
+    pages: DataFrame,
+    catalog: DataFrame,
+    text: str = "html",
+    headers: str | None = None,
+    kinds: Sequence[str] = BODY_KINDS,
+    rules_per_share: int = RULES_PER_SHARE,
+) -> DataFrame:
+    """The rows of ``match_pages`` for a catalog of any size; ``pages`` is not a stream.
+
+    Above MAX_RULES the rules are dealt by hash into parts of half as many. Pages are written once
+    with a row id, each part is matched in a pass of its own whose findings are written, and the
+    findings are united by row id. The driver holds the rules of one part at a time.
+    """
+    try:
+        return match_pages(pages, catalog, text, headers, kinds, rules_per_share)
+    except TooManyRules:
+        pass
+    if headers is not None:
+        kinds = [*kinds, "headers"]
+    rules = _saved(_rule_rows(catalog.where(F.col("evidence").isin(list(kinds)))).distinct(), "rules")
+    parts = -(-2 * rules.count() // MAX_RULES)
+    part = F.pmod(F.xxhash64(*rules.columns), F.lit(parts).cast("long"))
+    rows = _saved(pages.withColumn("_row", F.monotonically_increasing_id()), "pages")
+    found = []
+    for i in range(parts):
+        own = [row.asDict() for row in rules.where(part == i).collect()]
+        hits = rows.select("_row", F.explode(_evidence(own, text, headers, rules_per_share)).alias("_found"))
+        found.append(_saved(hits.select("_row", "_found.*"), "found"))
+    kept = [c for c in pages.columns if c not in (text, headers)]
+    united = reduce(DataFrame.unionByName, found).distinct()
+    return rows.select("_row", *kept).join(united, "_row").select(*kept, "app_name", "app_type")
+
+
+def _saved(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def technologies(
     pages: DataFrame,
     catalog: DataFrame,
@@ -85,8 +133,8 @@ def technologies(
     return pages.select(*kept, _evidence(rules, text, headers, rules_per_share).alias(name))
 
 
-def _rules(catalog: DataFrame) -> list[dict]:
-    """Patterns as they are run, with the texts they need. One action reads and checks them."""
+def _rule_rows(catalog: DataFrame) -> DataFrame:
+    """Patterns as they are run, with the texts they need."""
     is_header, pattern = F.col("evidence") == "headers", F.col("pattern")
     parts = F.when(is_header, F.array(pattern)).otherwise(patterns.alternatives(pattern))
     rules = catalog.withColumn("pattern", F.explode(parts))
@@ -94,19 +142,25 @@ def _rules(catalog: DataFrame) -> list[dict]:
     body = F.when(literal.isNull(), patterns.body_regex(pattern))
     needed = patterns.required_texts(pattern)
     texts = F.when(literal.isNotNull(), F.array(literal)).otherwise(needed)
-    rows = rules.select(
+    return rules.select(
         "app_name",
         F.col("evidence").alias("app_type"),
         "header_name",
         F.when(is_header, patterns.header_regex(pattern)).otherwise(body).alias("regex"),
         F.when(~is_header, texts).alias("texts"),
-    ).limit(MAX_RULES + 1).collect()
+    )
+
+
+def _rules(catalog: DataFrame) -> list[dict]:
+    """Rules in the driver. One action reads and checks them."""
+    rows = _rule_rows(catalog).limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: match parts of the catalog, by app, and unite the rows")
+        raise TooManyRules(f"more than {MAX_RULES} rules: match_any takes them in parts")
     return [row.asDict() for row in rows]
 
 
 def _shares(rules: list[dict], size: int) -> Iterator[list[dict]]:
+    size = max(size, -(-len(rules) // MAX_SHARES))
     for start in range(0, len(rules), size):
         yield rules[start : start + size]
 

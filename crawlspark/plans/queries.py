@@ -360,14 +360,14 @@ def tech_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tech_many_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1, J2 with a large catalog: the links and the track numbers of all pages."""
     pages = derived.pages_to_search(spark, sf_dir).select("page_id", "html")
-    return match.match_pages(pages, _many_signatures(pages))
+    return match.match_any(pages, _many_signatures(pages))
 
 
 @query(oracle.TECH_REPEATED_PAGES)
 def tech_repeated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: every page twice, against a catalog that travels as many constants."""
     pages = derived.pages_to_search(spark, sf_dir).select("page_id", "html")
-    found = match.match_pages(pages.unionByName(pages), _many_signatures(pages), rules_per_share=100)
+    found = match.match_any(pages.unionByName(pages), _many_signatures(pages), rules_per_share=100)
     return found.groupBy("page_id", "app_name", "app_type").agg(F.count("*").alias("times"))
 
 

@@ -156,3 +156,33 @@ def test_extractors(spark):
     rows = match.extract(pages, [match.technology_extractor(catalog), match.email_extractor()])
     assert rows._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
     assert found(rows) == {(1, "technology:html", "WP"), (1, "email", "a@b.cc")}
+
+
+@pytest.mark.parametrize("most", [2, 30])
+def test_catalogs_above_the_bound_are_matched_in_parts(spark, monkeypatch, most):
+    monkeypatch.setattr(match, "MAX_RULES", most)
+    pages, df = made_pages(spark)
+    rules, catalog = made_catalog(spark, True)
+    with pytest.raises(ValueError):
+        match.match_pages(df, catalog)
+    if most == 2:
+        # as many parts as rules
+        rules, catalog = made_catalog(spark, False)
+    rows = [tuple(r) for r in match.match_any(df.union(df), catalog).collect()]
+    assert sorted(rows) == sorted([*brute(pages, rules)] * 2)
+
+
+def test_headers_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(match, "MAX_RULES", 2)
+    page = spark.createDataFrame([(1, "wp-content", {"Server": "nginx", "X-Shop-By": "One Shop Server"}), (1, "", None)], "page_id int, html string, headers map<string,string>")
+    catalog = catalog_rows(spark, [*HEADERS, ("WP", "html", None, "wp-content")])
+    assert found(match.match_any(page, catalog, headers="headers")) == {(1, "1Shop", "headers"), (1, "nginx", "headers"), (1, "WP", "html")}
+
+
+def test_queries_with_derived_catalogs_above_the_bound(spark, monkeypatch):
+    from crawlspark.plans import queries
+
+    names = ["tech_many_signatures", "tech_repeated_pages"]
+    whole = [sorted(map(tuple, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names]
+    monkeypatch.setattr(match, "MAX_RULES", 40)
+    assert [sorted(map(tuple, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names] == whole

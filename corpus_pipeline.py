@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import mixing, near_copies, packing, pii, toxicity
+from crawlspark.llm import mixing, packing, pii, simhash, toxicity
 from crawlspark.llm.common import saved, table
 
 
@@ -20,8 +20,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies, as five-word shingles tell them."""
-    return near_copies.one_of_each(docs)
+    """The document with the smallest doc_id of each group that the SimHash operator links."""
+    return simhash.one_of_each(docs, simhash.SHINGLE)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

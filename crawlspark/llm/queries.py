@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import language, mixing, packing, pii, repetition, simhash, topk, toxicity, url_filter, warc
+from crawlspark.llm import filter_audit, language, mixing, packing, pii, repetition, simhash, topk, toxicity, url_filter, warc
 from crawlspark.llm.common import table
 from crawlspark.llm.url_filter import Rule, host_of
 
@@ -83,6 +83,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, step by step in every order."""
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _NAMED = (
     op1_top_k,
     op2_toxicity,
@@ -94,6 +99,7 @@ _NAMED = (
     op8_simhash,
     op9_language,
     op10_warc,
+    op13_filter_audit,
 )
 QUERIES = {query.__name__: query for query in _NAMED}
 
@@ -167,4 +173,47 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
 FROM d
 """
 
-SQL = {"op1_top_k": OP1, "op5_url_filter": OP5, "op10_warc": OP10}
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), f AS (
+  SELECT doc_id, part,
+    CAST(len(words) < 200 AS INTEGER)
+      | (CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INTEGER) << 1)
+      | (CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INTEGER) << 2)
+      | (CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER) << 3)
+      | (CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INTEGER) << 4) AS mask
+  FROM d
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), cells AS (
+  SELECT part, mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+walk AS (
+  SELECT '' AS prefix, 0 AS step, 0 AS before, 0 AS bit
+  UNION ALL
+  SELECT prefix || letter, step + 1, before | w.bit, l.bit
+  FROM walk w JOIN letters l ON (before | w.bit) & l.bit = 0
+), steps AS (
+  SELECT part, prefix, step, w.bit,
+    CAST(coalesce(sum(n) FILTER (mask & (before | w.bit) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (mask & before = 0 AND mask & w.bit <> 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (mask & before <> 0 AND mask & w.bit <> 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = w.bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (mask & before = 0 AND mask & w.bit <> 0 AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (mask & before = 0 AND mask & w.bit <> 0 AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM walk w JOIN cells ON step > 0 GROUP BY ALL
+), orders AS (
+  SELECT s.*, o.prefix AS filter_order
+  FROM (SELECT prefix FROM walk WHERE step = 5) o JOIN steps s ON starts_with(o.prefix, s.prefix)
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM orders
+"""
+
+SQL = {"op1_top_k": OP1, "op5_url_filter": OP5, "op10_warc": OP10, "op13_filter_audit": OP13}

@@ -9,7 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import filter_audit, language, mixing, packing, pii, repetition, simhash, topk, toxicity, url_filter, warc
+from crawlspark.llm import (
+    filter_audit,
+    hyperminhash,
+    language,
+    mixing,
+    packing,
+    pii,
+    repetition,
+    simhash,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from crawlspark.llm.common import table
 from crawlspark.llm.url_filter import Rule, host_of
 
@@ -83,6 +96,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, and whether the document is kept."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove from all documents, step by step in every order."""
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -99,6 +117,7 @@ _NAMED = (
     op8_simhash,
     op9_language,
     op10_warc,
+    op12_hyperminhash,
     op13_filter_audit,
 )
 QUERIES = {query.__name__: query for query in _NAMED}
@@ -173,6 +192,39 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
 FROM d
 """
 
+OP12 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), d AS (
+  SELECT doc_id, CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 1),
+      lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])))
+    END AS shingles
+  FROM w
+), n AS (
+  SELECT row_number() OVER () AS node, shingles, len(shingles) AS n, min(doc_id) AS first
+  FROM d WHERE len(shingles) > 0 GROUP BY shingles
+), s AS (SELECT node, n, unnest(shingles) AS shingle FROM n),
+links AS (
+  SELECT a.node AS a, b.node AS b
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.node <> b.node AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT node AS a, node AS b FROM n
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), c AS (SELECT r.a AS node, min(n.first) AS component_id FROM reach r JOIN n ON n.node = r.b GROUP BY r.a)
+SELECT doc_id, CAST(len(d.shingles) AS BIGINT) AS n_shingles,
+  CASE WHEN len(d.shingles) > 0 THEN component_id ELSE doc_id END AS component_id,
+  doc_id IS NOT DISTINCT FROM (CASE WHEN len(d.shingles) > 0 THEN component_id ELSE doc_id END) AS kept
+FROM d LEFT JOIN n USING (shingles) LEFT JOIN c USING (node)
+"""
+
 OP13 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
@@ -216,4 +268,4 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM orders
 """
 
-SQL = {"op1_top_k": OP1, "op5_url_filter": OP5, "op10_warc": OP10, "op13_filter_audit": OP13}
+SQL = {"op1_top_k": OP1, "op5_url_filter": OP5, "op10_warc": OP10, "op12_hyperminhash": OP12, "op13_filter_audit": OP13}

@@ -80,7 +80,7 @@ def test_limits_of_the_filters():
     assert bits(" ".join(fresh)[:97] + "ABC") == 1 and bits(" ".join(fresh)[:97] + "ABCD") == 5
     assert bits("é " * 200 + "A" * 12) == 2 and bits("é " * 200 + "A" * 13) == 6
     assert bits(" ".join(fresh) + "|") == 8 and bits(" ".join(fresh) + "^") == 0
-    assert bits("x\x0by\x0cz z " * 100) == 0b11
+    assert bits("x\x0by\x0cz z " * 60) == 0b11
 
 
 def test_very_long_text(spark):

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.common import bound_batches, components, saved
@@ -24,9 +24,9 @@ MANTISSA = 10
 BANDS, ROWS = 24, 4
 #: Pairs whose estimated similarity is lower are not verified: 0.2 is over six deviations of an estimate at 0.85.
 SLACK = 0.2
-#: Buckets of bands with more members than this are compared in blocks dealt over all tasks.
-DENSE = 64
+#: Members of a cluster, and their bytes, that a task holds against others at once.
 BLOCK = 2_048
+BLOCK_BYTES = 1 << 24
 #: Words whose hashes a task keeps at once.
 WORDS_KEPT = 200_000
 SEED = 42
@@ -114,12 +114,9 @@ def estimates(left: np.ndarray, right: np.ndarray, sizes_a: np.ndarray, sizes_b:
     return (equal - chance) / (1 - chance)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets of hashes have the similarity, in whole numbers."""
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+def linked(both, size_a, size_b):
+    """Whether sets of these sizes with so many common hashes link, in whole numbers."""
+    return 100 * both >= PERCENT * (size_a + size_b - both)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -159,65 +156,48 @@ def _matrix(column: pa.Array | list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(held), np.uint16).reshape(len(held), BUCKETS)
 
 
-def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every member with the first one of its bucket, of rows sorted by bucket and node."""
-    bucket = leader = None
-    for batch in batches:
-        buckets, nodes = batch["bucket"].to_numpy(), batch["node"].to_numpy()
-        if not len(buckets):
-            continue
-        new = np.concatenate(([buckets[0] != bucket], buckets[1:] != buckets[:-1]))
-        at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-        first = np.where(at < 0, leader if leader is not None else 0, nodes[at])
-        bucket, leader = buckets[-1], first[-1]
-        other = nodes != first
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(first[other])], ["a", "b"])
-
-
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Those of the ``pairs(a, b)`` that may be similar, with the ``estimate``.
-
-    Sizes alone rule out a pair for certain, a low estimate all but for certain.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [batch[c].to_numpy() for c in ("na", "nb")]
-            found = estimates(_matrix(batch["left"]), _matrix(batch["right"]), *sizes)
-            out = pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(found)], ["a", "b", "estimate"])
-            yield out.filter(pa.array(found >= PERCENT / 100 - SLACK))
-
-    ends = [
-        nodes.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(side))
-        for end, side in (("a", "left"), ("b", "right"))
-    ]
-    both = pairs.join(ends[0], "a").join(ends[1], "b").filter(_sizes_allow("na", "nb"))
-    return both.select("a", "b", "na", "nb", "left", "right").mapInArrow(run, "a long, b long, estimate double")
-
-
-def _sizes_allow(a: str, b: str):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def leader_pairs(nodes: DataFrame) -> DataFrame:
+    """Distinct pairs ``a, b`` of a node and the least other node of a bucket they share; saved."""
+    width = 2 * ROWS
+    bands = F.array(*(F.xxhash64(F.lit(k), F.substring("sketch", 1 + k * width, width)) for k in range(BANDS)))
+    members = nodes.select(F.col("node").alias("a"), F.explode(bands).alias("bucket"))
+    least = members.groupBy("bucket").agg(F.min("a").alias("b"), F.count("*").alias("m")).filter("m > 1")
+    return saved(members.join(least, "bucket").filter("a <> b").select("a", "b").distinct(), "leaders")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the ``pairs(a, b)`` whose whole sets of shingles are similar; saved.
+def encoded(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Whole sets of nodes told by those of their leaders, for ``pairs(a, b)`` of a node and a leader; saved.
 
-    Texts are read again for the nodes of pairs alone, once each, and a pair carries the text of one end
-    to the other's.
+    ``missing`` are the places in the leader's sorted set that a's lacks, ``extra`` its hashes that the
+    leader's lacks: for near copies a small part of the set. ``na, nb`` are the sizes, ``near`` tells whether
+    the two link. Texts are read again for the nodes of pairs alone; a pair carries the text of one end to
+    the other's.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
-        held, last = np.zeros(0, np.uint64), None
+        leader, last = np.zeros(0, np.uint64), None
         for batch in batches:
             a, b, left, right = (batch[c] for c in ("a", "b", "left", "right"))
-            near = []
+            rows = []
             for i in range(batch.num_rows):
-                # rows of one end mostly come together
+                # rows of one leader mostly come together
                 if b[i].as_py() != last:
-                    held, last = shingles(right[i].as_py(), words), b[i].as_py()
-                near.append(similar(shingles(left[i].as_py(), words), held))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+                    leader, last = shingles(right[i].as_py(), words), b[i].as_py()
+                own = shingles(left[i].as_py(), words)
+                missing = np.flatnonzero(~np.isin(leader, own, assume_unique=True)).astype(np.int32)
+                extra = np.setdiff1d(own, leader, assume_unique=True)
+                both = len(own) - len(extra)
+                near = linked(both, len(own), len(leader))
+                rows.append((len(own), len(leader), missing.tobytes(), extra.tobytes(), bool(near)))
+            na, nb, missing, extra, near = zip(*rows, strict=True) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays(
+                [
+                    a, b, pa.array(na, pa.int64()), pa.array(nb, pa.int64()), pa.array(missing, pa.binary()),
+                    pa.array(extra, pa.binary()), pa.array(near, pa.bool_()),
+                ],
+                ["a", "b", "na", "nb", "missing", "extra", "near"],
+            )
 
     bound_batches(docs.sparkSession, 500)
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -227,92 +207,156 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"
     )
-    return saved(both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"), "near-links")
-
-
-def cross_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block's two sides that are in different groups so far and may be similar by their sketches."""
-    second = rows["second"].to_numpy(bool)
-    left, right = rows[~second], rows[second]
-    if left.empty or right.empty:
-        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-    sketch = [_matrix(list(x["sketch"])) for x in (left, right)]
-    node, group, size = ([x[c].to_numpy(np.int64) for x in (left, right)] for c in ("node", "grp", "n"))
-    # a pair of two groups has a member outside the most frequent one
-    main = rows["grp"].mode().iloc[0]
-    a, b = [node[0][:0]], [node[1][:0]]
-    for own, other in ((0, 1), (1, 0)):
-        for i in np.flatnonzero(group[own] != main):
-            n, m = size[own][i], size[other]
-            near = (group[other] != group[own][i]) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
-            at = np.flatnonzero(near)
-            hit = at[estimates(sketch[other][at], sketch[own][i], m[at], n) >= PERCENT / 100 - SLACK]
-            a.append(np.full(len(hit), node[own][i]))
-            b.append(node[other][hit])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-
-def _open_pairs(members: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Pairs of ``grouped(node, n, sketch, grp)`` that share a bucket of ``members``, not a group, and may be similar."""
-    placed = members.join(grouped.select("node", "n", "grp"), "node")
-    mixed = placed.groupBy("bucket").agg(
-        F.count("*").alias("m"), F.min("grp").alias("low"), F.max("grp").alias("high")
-    )
-    mixed = saved(
-        mixed.filter("low <> high").select("bucket", "m", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks")),
-        "mixed-buckets",
+    schema = "a long, b long, na long, nb long, missing binary, extra binary, near boolean"
+    return saved(both.select("a", "b", "left", "right").mapInArrow(run, schema), "encoded")
+
+
+class _Tokens:
+    """Lists of numbers of many rows, of which each may be held against all."""
+
+    def __init__(self, lists: list[np.ndarray]) -> None:
+        self.lists = lists
+        self.ends = np.cumsum([0, *map(len, lists)])
+        self.all = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+
+    def common(self, own: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """How many of ``own`` every row holds; ``marks`` is all false before and after."""
+        marks[own] = True
+        counts = np.concatenate(([0], np.cumsum(marks[self.all])))[self.ends]
+        marks[own] = False
+        return np.diff(counts)
+
+
+def cluster_links(rows: pd.DataFrame) -> tuple[list[int], list[int]]:
+    """Links between open and all members of one leader's cluster that join what all such links join.
+
+    Sketches are compared first; where the estimate leaves a link possible, the whole sets decide: with the
+    leader's size n, missing places M and extras E, two sets share n - |M1| - |M2| + |M1 & M2| + |E1 & E2|.
+    """
+    node, group, size = (rows[c].to_numpy(np.int64) for c in ("node", "grp", "na"))
+    opens = np.flatnonzero(rows["open"].to_numpy(bool))
+    others = np.flatnonzero(rows["other"].to_numpy(bool))
+    if not len(opens) or len(np.unique(group)) < 2:
+        return [], []
+    sketch = _matrix(list(rows["sketch"]))
+    leader = int(rows["nb"].iloc[0])
+    missing = [np.frombuffer(x, np.int32) for x in rows["missing"]]
+    extra = [np.frombuffer(x, np.uint64) for x in rows["extra"]]
+    numbers, ids = np.unique(np.concatenate(extra), return_inverse=True)
+    extra = np.split(ids, np.cumsum([len(x) for x in extra])[:-1])
+    lacking, added = _Tokens([missing[i] for i in others]), _Tokens([extra[i] for i in others])
+    lacks = np.diff(lacking.ends)
+    marks = [np.zeros(leader, bool), np.zeros(len(numbers), bool)]
+    # groups of this call as they are joined
+    now = {int(g): int(g) for g in np.unique(group)}
+
+    def find(g: int) -> int:
+        while now[g] != g:
+            g = now[g]
+        return g
+
+    a, b = [], []
+    for i in opens:
+        n, m = size[i], size[others]
+        may = (group[others] != group[i]) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+        at = np.flatnonzero(may)
+        if not len(at):
+            continue
+        at = at[estimates(sketch[others[at]], sketch[i], m[at], n) >= PERCENT / 100 - SLACK]
+        if not len(at):
+            continue
+        both = leader - len(missing[i]) - lacks + lacking.common(missing[i], marks[0]) + added.common(extra[i], marks[1])
+        for hit in others[at[linked(both[at], n, m[at])]]:
+            x, y = find(int(group[i])), find(int(group[hit]))
+            if x != y:
+                now[max(x, y)] = min(x, y)
+                a.append(int(node[i]))
+                b.append(int(node[hit]))
+    return a, b
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    a, b = [], []
+    for _, cluster in rows.groupby("b", sort=False):
+        more = cluster_links(cluster)
+        a += more[0]
+        b += more[1]
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _open_links(found: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Links between the members of clusters that are not in their leader's group yet and all other members.
+
+    ``found`` are the encoded members of the clusters, ``grouped(node, sketch, grp)`` the nodes. Small clusters
+    go to tasks together, a large one is dealt over many: its members in blocks, each held against every
+    block of its open members. What comes back joins groups, never more rows than there are groups in a block.
+    """
+    leaders = grouped.select(F.col("node").alias("b"), F.col("grp").alias("main"))
+    placed = found.withColumnRenamed("a", "node").join(grouped, "node").join(leaders, "b")
+    placed = placed.withColumn("open", F.col("grp") != F.col("main"))
+    weight = F.octet_length("missing") + F.octet_length("extra") + F.octet_length("sketch")
+
+    def blocks(rows: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(rows / F.lit(BLOCK)), F.ceil(size / F.lit(BLOCK_BYTES))).cast("int")
+
+    is_open = F.col("open").cast("long")
+    sizes = placed.groupBy("b").agg(
+        F.count("*").alias("m"),
+        F.sum(weight.cast("long")).alias("size"),
+        F.sum(is_open).alias("opens"),
+        F.sum(weight.cast("long") * is_open).alias("open_size"),
     )
-    light = placed.join(mixed.filter(F.col("m") <= DENSE).select("bucket"), "bucket")
-    near = (
-        light.alias("x")
-        .join(light.alias("y"), "bucket")
-        .filter((F.col("x.node") < F.col("y.node")) & (F.col("x.grp") != F.col("y.grp")) & _sizes_allow("x.n", "y.n"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    # the leader's own group needs no look, nor does a single open member beside it
+    sizes = sizes.filter("opens > 0 and m > 1").select(
+        "b",
+        "size",
+        blocks(F.col("m"), F.col("size")).alias("blocks"),
+        blocks(F.col("opens"), F.col("open_size")).alias("open_blocks"),
     )
-    near = _estimated(near.distinct(), grouped).select("a", "b")
-    dense = saved(mixed.filter(F.col("m") > DENSE).select("bucket", "blocks"), "dense-buckets")
-    tasks = (
-        dense.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)))
-        .select("bucket", "i", "j")
+    sizes = saved(sizes, "clusters")
+    total = sizes.filter("blocks = 1").agg(F.sum("size")).first()[0] or 0
+    tasks = -(-total // BLOCK_BYTES) + 1
+    dealt = placed.join(sizes.drop("size"), "b").select(
+        "b", "node", "na", "nb", "missing", "extra", "sketch", "grp", "open", "blocks", "open_blocks",
+        F.pmod(F.xxhash64(F.lit(1), "node"), F.col("blocks")).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.lit(2), "node"), F.col("open_blocks")).cast("int").alias("open_block"),
+    )
+    small = dealt.filter("blocks = 1").select(
+        "*",
+        F.lit(None).cast("long").alias("of"),
+        F.pmod(F.xxhash64("b"), F.lit(tasks)).cast("int").alias("i"),
+        F.lit(0).alias("j"),
+        F.lit(True).alias("other"),
     )
-    dealt = (
-        members.join(dense, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-        .join(grouped, "node")
+    large = dealt.filter("blocks > 1").withColumn("of", F.col("b"))
+    as_other = large.withColumns(
+        {"i": F.col("block"), "j": F.explode(F.sequence(F.lit(0), F.col("open_blocks") - 1)), "other": F.lit(True)}
+    ).withColumn("open", F.lit(False))
+    as_open = large.filter("open").withColumns(
+        {"i": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "j": F.col("open_block"), "other": F.lit(False)}
     )
-    sides = [
-        dealt.withColumnRenamed("block", part)
-        .join(tasks, ["bucket", part])
-        .select("bucket", "i", "j", "node", "n", "grp", "sketch", F.lit(part == "j").alias("second"))
-        for part in ("i", "j")
-    ]
-    crowded = sides[0].unionByName(sides[1]).groupBy("bucket", "i", "j").applyInPandas(cross_pairs, "a long, b long")
-    return saved(near.unionByName(crowded).distinct(), "open-pairs")
+    parts = small.unionByName(as_other).unionByName(as_open).drop("blocks", "open_blocks", "block", "open_block")
+    return saved(parts.groupBy("of", "i", "j").applyInPandas(_block_links, "a long, b long").distinct(), "open-links")
 
 
 def near_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, root)`` of the ``nodes(node, n, row_key, sketch)`` that links join with others.
 
-    Members of a bucket are first held against its leader, and every node is verified with the leader it
-    resembles most, which joins most near copies at one comparison each. Then the pairs that share a bucket
-    and are still in different groups are verified, all of them: no bucket's pairs inside a group are rows.
+    All members of a bucket belong to the cluster of its leader, so nodes that share a bucket share a cluster,
+    and a node has few leaders. Members are verified with their leaders, which joins most near copies;
+    then members outside their leader's group are held against all others of the cluster. No pair but that
+    of member and leader, and links that join groups, is ever a row.
     """
-    width = 2 * ROWS
-    bands = F.array(*(F.xxhash64(F.lit(k), F.substring("sketch", 1 + k * width, width)) for k in range(BANDS)))
-    members = nodes.select("node", F.explode(bands).alias("bucket"))
-    in_order = members.repartitionByRange("bucket", "node").sortWithinPartitions("bucket", "node")
-    led = _estimated(in_order.mapInArrow(_leaders, "a long, b long").distinct(), nodes)
-    best = led.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
-    roots = saved(components(_verified(saved(best, "leaders"), nodes, docs)), "groups-first")
-
-    grouped = nodes.join(roots, "node", "left").select("node", "n", "sketch", F.coalesce("root", "node").alias("grp"))
-    more = _verified(_open_pairs(members, saved(grouped, "grouped")), nodes, docs)
+    pairs = leader_pairs(nodes)
+    found = encoded(pairs, nodes, docs)
+    links = found.filter("near").select("a", "b")
+    roots = saved(components(links), "groups-first")
+    grouped = nodes.join(roots, "node", "left").select("node", "sketch", F.coalesce("root", "node").alias("grp"))
+    more = _open_links(found.drop("near"), saved(grouped, "grouped"))
     if more.isEmpty():
         return roots
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    return saved(components(links), "groups-last")
+    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+    return saved(components(joined), "groups-last")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -320,8 +364,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts link if 85 % or more of the union of their sets of three-word shingles is in both;
     ``component_id`` is the smallest doc_id that links reach, ``kept`` whether it is the row's own. Bands
-    of HyperMinHash registers give the pairs to look at, the estimate without chance collisions leaves
-    out those that are far from similar, and the whole sets decide.
+    of HyperMinHash registers bring together what may be similar, the estimate without chance collisions
+    leaves out pairs that are far from it, and the whole sets decide.
 
     Texts without words, null ones too, have no shingles and stand alone. Repeated rows are rows of their
     own in one component and share its verdict. A null doc_id keeps its row and names a component only

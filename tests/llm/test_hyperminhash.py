@@ -74,8 +74,7 @@ def test_components_are_those_of_all_pairs(spark, rows, seed):
     assert found(spark, docs, rows) == brute(docs)
 
 
-def test_crowded_buckets_are_compared_in_blocks(spark, rows, monkeypatch):
-    monkeypatch.setattr(hmh, "DENSE", 3)
+def test_large_clusters_are_compared_in_blocks(spark, rows, monkeypatch):
     monkeypatch.setattr(hmh, "BLOCK", 4)
     docs = families(3, sizes=(40, 100), count=25)
     assert found(spark, docs, rows) == brute(docs)

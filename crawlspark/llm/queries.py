@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL. Each reads its whole table.
+"""The registered queries of the thirteen operators and their SQL. Each reads its whole table.
 
 Not in SQL, so tested against brute force, round trips or held-out rows in tests/llm: op2, op4 and op9
 (learned or keyed), op3 and op8 (hashes that DuckDB does not have), op6 (longest repeats), op7 (tokens).
@@ -16,6 +16,7 @@ from crawlspark.llm import (
     mixing,
     packing,
     pii,
+    prefix_trie,
     repetition,
     simhash,
     topk,
@@ -96,6 +97,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, and whether the document is kept."""
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -117,6 +123,7 @@ _NAMED = (
     op8_simhash,
     op9_language,
     op10_warc,
+    op11_prefix_trie,
     op12_hyperminhash,
     op13_filter_audit,
 )
@@ -192,6 +199,48 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
 FROM d
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS ref
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, ref, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, ref) AS i FROM t
+), c AS (
+  SELECT conv_id, (4294967295 - list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1),
+      lambda k: CAST(ascii(substr(conv_id::VARCHAR, CAST(k AS INTEGER), 1)) AS BIGINT)),
+    lambda s, b: list_reduce(range(0, 8),
+      lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(s, b)),
+    4294967295)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, false AS own, i, ref, chars FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND i <= h
+  UNION ALL
+  SELECT c.conv_id, true, i, ref, chars FROM c JOIN o ON o.conv_id = c.conv_id AND i > h
+), s AS (
+  SELECT conv_id, chars, row_number() OVER w AS depth, string_agg(ref, '') OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, i)
+), m AS (
+  SELECT conv_id, depth, sha256(path) AS path, coalesce(lag(sha256(path)) OVER (PARTITION BY conv_id ORDER BY depth), '') AS up,
+    chars, depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM s
+  UNION ALL
+  SELECT conv_id, 0, '', NULL, 0, conv_id NOT IN (SELECT conv_id FROM s) FROM c
+), n AS (
+  SELECT depth, path, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS worth,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY depth, path
+), k AS (
+  SELECT n.*, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.up = n.path) AS n_children FROM n
+), a AS (
+  SELECT m.depth, m.path, sum(worth) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM k JOIN m ON m.conv_id = k.conv_id AND m.depth <= k.depth GROUP BY m.depth, m.path
+)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN a USING (depth, path) LEFT JOIN n p ON p.depth = k.depth - 1 AND p.path = k.up
+"""
+
 OP12 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -268,4 +317,11 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM orders
 """
 
-SQL = {"op1_top_k": OP1, "op5_url_filter": OP5, "op10_warc": OP10, "op12_hyperminhash": OP12, "op13_filter_audit": OP13}
+SQL = {
+    "op1_top_k": OP1,
+    "op5_url_filter": OP5,
+    "op10_warc": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_hyperminhash": OP12,
+    "op13_filter_audit": OP13,
+}

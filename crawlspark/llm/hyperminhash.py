@@ -27,6 +27,8 @@ SLACK = 0.2
 #: Members of a cluster, and their bytes, that a task holds against others at once.
 BLOCK = 2_048
 BLOCK_BYTES = 1 << 24
+#: Rows of two numbers that are broadcast at most.
+KEYS_BROADCAST = 4_000_000
 #: Words whose hashes a task keeps at once.
 WORDS_KEPT = 200_000
 SEED = 42
@@ -202,7 +204,9 @@ def encoded(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession, 500)
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = saved(ends.join(nodes.select("node", "row_key"), "node"), "wanted")
-    texts = _keyed(docs).join(wanted, "row_key").groupBy("node").agg(F.first("text").alias("text"))
+    # few keys spare all other texts the way through a shuffle
+    few = wanted.count() <= KEYS_BROADCAST
+    texts = _keyed(docs).join(F.broadcast(wanted) if few else wanted, "row_key").groupBy("node").agg(F.first("text").alias("text"))
     texts = saved(texts, "texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"

@@ -9,7 +9,8 @@ every pattern. Two steps:
 2. *Check.* The regular expressions of the candidates, and of the patterns without such texts, run
    on the page. A pattern that is a text and nothing else needs no check.
 
-Both ways give the same rows.
+Both ways give the same rows, as does a third for catalogs of more rules than a plan should hold: rules
+and pages are then joined by the text pieces they share (``rule_index``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions import patterns
 from crawlspark.functions.emails import find_emails
+from crawlspark.operators.rule_index import indexed_matches
 from crawlspark.runtime import broadcast_if_small, work_dir
 
 BODY_KINDS = ("html", "scripts")
@@ -42,7 +44,10 @@ RULES_PER_SHARE = 5_000
 # Constants of one plan: tasks with many more cannot be serialized, so shares grow instead
 MAX_SHARES = 20
 
-# What a catalog may hold when its alternatives are split; match_any takes more, in parts
+# Rules that a plan holds when alternatives are split; larger catalogs are joined as a table
+INDEX_ABOVE = 20_000
+
+# What a catalog for a stream may hold, which is always a part of the plan
 MAX_RULES = 200_000
 
 _FOUND = "array<struct<app_name:string,app_type:string>>"
@@ -67,48 +72,15 @@ def match_pages(
     """Distinct ``app_name``, ``app_type`` per page, all kinds in one pass.
 
     ``text`` is searched by the patterns of ``kinds``. With ``headers``, a map column, the header
-    patterns are applied too. Both columns are left out of the result. Every page row is read once
-    and gives its own rows, for catalogs of up to MAX_RULES; ``pages`` may be a stream.
+    patterns are applied too. Both columns are left out of the result. Every page row gives its own
+    rows, for a catalog of any size. ``pages`` may be a stream for catalogs of up to MAX_RULES; beyond,
+    match its batches.
     """
     found = technologies(pages, catalog, text, headers, kinds, rules_per_share, "_found")
     kept = [c for c in pages.columns if c not in (text, headers)]
     return found.select(*kept, F.explode("_found").alias("_found")).select(*kept, "_found.*")
 
 
-def match_any(
-    pages: DataFrame,
-    catalog: DataFrame,
-    text: str = "html",
-    headers: str | None = None,
-    kinds: Sequence[str] = BODY_KINDS,
-    rules_per_share: int = RULES_PER_SHARE,
-) -> DataFrame:
-    """The rows of ``match_pages`` for a catalog of any size; ``pages`` is not a stream.
-
-    Above MAX_RULES the rules are dealt by hash into parts of half as many. Pages are written once
-    with a row id, each part is matched in a pass of its own whose findings are written, and the
-    findings are united by row id. The driver holds the rules of one part at a time.
-    """
-    try:
-        return match_pages(pages, catalog, text, headers, kinds, rules_per_share)
-    except TooManyRules:
-        pass
-    if headers is not None:
-        kinds = [*kinds, "headers"]
-    rules = _saved(_rule_rows(catalog.where(F.col("evidence").isin(list(kinds)))).distinct(), "rules")
-    parts = -(-2 * rules.count() // MAX_RULES)
-    part = F.pmod(F.xxhash64(*rules.columns), F.lit(parts).cast("long"))
-    rows = _saved(pages.withColumn("_row", F.monotonically_increasing_id()), "pages")
-    found = []
-    for i in range(parts):
-        own = [row.asDict() for row in rules.where(part == i).collect()]
-        hits = rows.select("_row", F.explode(_evidence(own, text, headers, rules_per_share)).alias("_found"))
-        found.append(_saved(hits.select("_row", "_found.*"), "found"))
-    kept = [c for c in pages.columns if c not in (text, headers)]
-    united = reduce(DataFrame.unionByName, found).distinct()
-    return rows.select("_row", *kept).join(united, "_row").select(*kept, "app_name", "app_type")
-
-
 def _saved(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = work_dir(df.sparkSession, purpose)
@@ -125,12 +97,24 @@ def technologies(
     rules_per_share: int = RULES_PER_SHARE,
     name: str = "found",
 ) -> DataFrame:
-    """The same with a row for every page, which holds its (app_name, app_type) as ``name``."""
+    """The same with a row for every page, which holds its (app_name, app_type) as ``name``.
+
+    For a catalog of more than INDEX_ABOVE rules, pages and findings are written on the way.
+    """
     if headers is not None:
         kinds = [*kinds, "headers"]
-    rules = _rules(catalog.where(F.col("evidence").isin(list(kinds))))
+    wanted = catalog.where(F.col("evidence").isin(list(kinds)))
+    rules = _rules(wanted, MAX_RULES if pages.isStreaming else INDEX_ABOVE)
     kept = [c for c in pages.columns if c not in (text, headers)]
-    return pages.select(*kept, _evidence(rules, text, headers, rules_per_share).alias(name))
+    if rules is not None:
+        return pages.select(*kept, _evidence(rules, text, headers, rules_per_share).alias(name))
+    if pages.isStreaming:
+        raise TooManyRules(f"more than {MAX_RULES} rules: match the stream's batches")
+    rows = _saved(pages.withColumn("_row", F.monotonically_increasing_id()), "pages")
+    matched = indexed_matches(rows, _rule_rows(wanted), text, headers, _saved)
+    apps = matched.groupBy("_row").agg(F.collect_list(F.struct("app_name", "app_type")).alias(name))
+    none = F.array().cast(_FOUND)
+    return rows.select("_row", *kept).join(apps, "_row", "left").select(*kept, F.coalesce(name, none).alias(name))
 
 
 def _rule_rows(catalog: DataFrame) -> DataFrame:
@@ -151,12 +135,10 @@ def _rule_rows(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _rules(catalog: DataFrame) -> list[dict]:
-    """Rules in the driver. One action reads and checks them."""
-    rows = _rule_rows(catalog).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise TooManyRules(f"more than {MAX_RULES} rules: match_any takes them in parts")
-    return [row.asDict() for row in rows]
+def _rules(catalog: DataFrame, most: int) -> list[dict] | None:
+    """Rules in the driver, or None if there are more than ``most``. One action reads and checks them."""
+    rows = _rule_rows(catalog).limit(most + 1).collect()
+    return None if len(rows) > most else [row.asDict() for row in rows]
 
 
 def _shares(rules: list[dict], size: int) -> Iterator[list[dict]]:
@@ -282,20 +264,33 @@ def match_headers(headers: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-# An extractor is a column, the findings of a page as an array of (kind, value).
+# An extractor is a column, the findings of a page as an array of (kind, value), or a function that
+# gives (key, kind, value) rows of all pages.
 _FINDINGS = "array<struct<kind:string,value:string>>"
+Extractor = Column | Callable[[DataFrame, str], DataFrame]
 
 
 def _finding(kind: Column, value: Column) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
-def technology_extractor(catalog: DataFrame, text: str = "html") -> Column:
-    rules = _rules(catalog.where(F.col("evidence").isin(list(BODY_KINDS))))
-    return F.transform(
-        _evidence(rules, text),
-        lambda found: _finding(F.concat(F.lit("technology:"), found["app_type"]), found["app_name"]),
-    )
+def technology_extractor(catalog: DataFrame, text: str = "html", headers: str | None = None) -> Extractor:
+    """Technologies by ``text``, and by the map column ``headers`` if one is named."""
+    kinds = [*BODY_KINDS, "headers"] if headers is not None else list(BODY_KINDS)
+    rules = _rules(catalog.where(F.col("evidence").isin(kinds)), INDEX_ABOVE)
+
+    def finding(found: Column) -> Column:
+        return _finding(F.concat(F.lit("technology:"), found["app_type"]), found["app_name"])
+
+    if rules is not None:
+        return F.transform(_evidence(rules, text, headers), finding)
+
+    def findings(pages: DataFrame, key: str) -> DataFrame:
+        read = [key, text] if headers is None else [key, text, headers]
+        found = technologies(pages.select(*read), catalog, text, headers, name="_found")
+        return found.select(key, F.explode(F.transform("_found", finding)).alias("_found")).select(key, "_found.*")
+
+    return findings
 
 
 def email_extractor(text: str = "html") -> Column:
@@ -303,8 +298,15 @@ def email_extractor(text: str = "html") -> Column:
     return F.transform(found, lambda email: _finding(F.lit("email"), email))
 
 
-def extract(pages: DataFrame, extractors: Sequence[Column], key: str = "page_id") -> DataFrame:
-    """The findings of several extractors, in one pass over the pages, which may be a stream."""
+def extract(pages: DataFrame, extractors: Sequence[Extractor], key: str = "page_id") -> DataFrame:
+    """The findings of several extractors. Those that are columns share one pass over the pages, which may
+    be a stream; that of a catalog too large for a plan makes joins of its own and takes no stream.
+    """
     none = F.array().cast(_FINDINGS)
-    found = F.concat(none, *(F.coalesce(e.cast(_FINDINGS), none) for e in extractors))
-    return pages.select(key, F.explode(found).alias("_found")).select(key, "_found.*")
+    columns = [e for e in extractors if isinstance(e, Column)]
+    found = F.concat(none, *(F.coalesce(e.cast(_FINDINGS), none) for e in columns))
+    out = pages.select(key, F.explode(found).alias("_found")).select(key, "_found.*")
+    for findings in extractors:
+        if not isinstance(findings, Column):
+            out = out.unionByName(findings(pages, key))
+    return out

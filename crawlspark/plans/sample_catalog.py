@@ -1,5 +1,6 @@
-"""A small signature catalog of our own, in the format of a catalog file."""
+"""A small signature catalog in the format of a catalog file."""
 
+# The entry 1C-Bitrix, by which a given case is checked. The others are our own.
 SAMPLE_CATALOG = r"""
 {"apps": {
   "1C-Bitrix": {"headers": {"Set-Cookie": "BITRIX_", "X-Powered-CMS": "Bitrix Site Manager"}},

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from crawlspark.sources import catalog
 
 APPS = {
-    "1Shop": {"headers": {"Set-Cookie": "SHOPSID_", "X-Shop-By": "One Shop Server"}},
+    "Cache": {"headers": {"Age": "\\d{4,}\\;version:\\1\\;confidence:10"}, "html": []},
     "One": {"html": "<one(\\d)\\;version:\\1", "script": ["a\\(b", "[xy]\\.js\\;confidence:50"]},
     "Ahead": {"html": ["x(?!y)"]},
     "Broken": {"html": ["a(b", "fine"], "headers": {"X": "("}},
@@ -14,10 +14,9 @@ APPS = {
 }
 
 EXPECTED = [
-    ("1Shop", "headers", "Set-Cookie", "SHOPSID_"),
-    ("1Shop", "headers", "X-Shop-By", "One Shop Server"),
     ("Ahead", "html", None, "x(?!y)"),
     ("Broken", "html", None, "fine"),
+    ("Cache", "headers", "Age", "\\d{4,}"),
     ("Class", "scripts", None, "[a-z]+\\.js"),
     ("One", "html", None, "<one(\\d)"),
     ("One", "scripts", None, "[xy]\\.js"),
@@ -48,5 +47,5 @@ def test_catalog_text(spark, tmp_path):
 def test_app_dim(spark):
     rows = catalog.catalog_rows(spark, EXPECTED)
     dim = dict((r.app_name, r.app_id) for r in catalog.app_dim(rows).collect())
-    assert dim == {"1Shop": 1, "Ahead": 2, "Broken": 3, "Class": 4, "One": 5}
+    assert dim == {"Ahead": 1, "Broken": 2, "Cache": 3, "Class": 4, "One": 5}
     assert rows.where(F.col("header_name").isNull()).count() == 6

@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from crawlspark.operators import match
+from crawlspark.operators import match, rule_index
 from crawlspark.sources.catalog import catalog_rows
 
 WORDS = ["wp-content", "track(7)", "<div id=app>", "jquery.js", "äöü", "react", "\n"]
@@ -69,11 +70,12 @@ def test_repeated_pages_have_rows_of_their_own(spark, many, per_share):
     assert sorted(rows) == sorted([*brute(pages, rules)] * 2)
 
 
-def test_catalogs_without_a_bound_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(match, "MAX_RULES", 2)
-    with pytest.raises(ValueError):
-        # one row, three rules
-        match.match_pages(made_pages(spark)[1], catalog_rows(spark, [("A", "html", None, "ab|cd|ef")]))
+def test_alternatives_count_as_rules(spark, monkeypatch):
+    monkeypatch.setattr(match, "INDEX_ABOVE", 2)
+    # one row, three rules
+    catalog = catalog_rows(spark, [("A", "html", None, "ab|cd|ef")])
+    df = spark.createDataFrame([(1, "x cd ef"), (2, "c d"), (3, "ab")], "page_id int, html string")
+    assert found(match.match_pages(df, catalog)) == {(1, "A", "html"), (3, "A", "html")}
 
 
 @pytest.mark.parametrize("literal", [64, 0])
@@ -111,8 +113,8 @@ def test_empty_catalog(spark):
 
 
 HEADERS = [
-    ("1Shop", "headers", "Set-Cookie", "SHOPSID_"),
-    ("1Shop", "headers", "X-Shop-By", "One Shop Server"),
+    ("Gate", "headers", "Via", "(?:\\d\\.)?\\d gate-[a-f]"),
+    ("Gate", "headers", "X-Trace", "$"),
     ("nginx", "headers", "Server", "nginx(?:/([\\d.]+))?"),
 ]
 
@@ -120,12 +122,17 @@ HEADERS = [
 @pytest.mark.parametrize(
     "headers, apps",
     [
-        ({"Set-Cookie": "SHOPSID_"}, {"1Shop"}),
-        ({"X-Shop-By": "One Shop Server"}, {"1Shop"}),
-        ({"Set-Cookie": "shopsid_x", "X-Shop-By": "ONE SHOP SERVER 9"}, {"1Shop"}),
-        ({"Set-Cookie": "a SHOPSID_"}, set()),
-        ({"set-cookie": "SHOPSID_"}, set()),
-        ({"Server": "nginx\nx", "Other": "nginx"}, {"nginx"}),
+        # a match begins where the value does, in any case, and may end early
+        ({"Via": "1.1 GATE-F, 2 proxy"}, {"Gate"}),
+        ({"Via": "proxy, 1.1 gate-a"}, set()),
+        ({"Via": "11 gate-a"}, set()),
+        # only an empty value or one that a line feed ends
+        ({"X-Trace": ""}, {"Gate"}),
+        ({"X-Trace": "0"}, set()),
+        # names are compared as they are
+        ({"via": "1 gate-a", "x-trace": ""}, set()),
+        ({"Server": "Nginx\nx", "Other": "nginx", "Via": "2 gate-g"}, {"nginx"}),
+        ({"Server": "nginx/1.2", "Via": "2 gate-b", "X-Trace": ""}, {"Gate", "nginx"}),
         ({}, set()),
     ],
 )
@@ -158,31 +165,70 @@ def test_extractors(spark):
     assert found(rows) == {(1, "technology:html", "WP"), (1, "email", "a@b.cc")}
 
 
-@pytest.mark.parametrize("most", [2, 30])
-def test_catalogs_above_the_bound_are_matched_in_parts(spark, monkeypatch, most):
-    monkeypatch.setattr(match, "MAX_RULES", most)
+@pytest.mark.parametrize("lists", [1, 7, 2_000])
+def test_catalogs_of_any_size_are_joined(spark, monkeypatch, lists):
+    monkeypatch.setattr(match, "INDEX_ABOVE", 2)
+    monkeypatch.setattr(rule_index, "RULES_PER_LIST", lists)
     pages, df = made_pages(spark)
-    rules, catalog = made_catalog(spark, True)
-    with pytest.raises(ValueError):
-        match.match_pages(df, catalog)
-    if most == 2:
-        # as many parts as rules
-        rules, catalog = made_catalog(spark, False)
-    rows = [tuple(r) for r in match.match_any(df.union(df), catalog).collect()]
+    rules, catalog = made_catalog(spark, lists != 1)
+    rows = [tuple(r) for r in match.match_pages(df.union(df), catalog).collect()]
     assert sorted(rows) == sorted([*brute(pages, rules)] * 2)
 
 
-def test_headers_in_parts(spark, monkeypatch):
+def test_joined_headers(spark, monkeypatch):
+    monkeypatch.setattr(match, "INDEX_ABOVE", 2)
+    page = spark.createDataFrame([(1, "wp-content", {"Server": "nginx", "Via": "3 gate-c"}), (1, "", None), (2, None, {"server": "nginx"})], "page_id int, html string, headers map<string,string>")
+    catalog = catalog_rows(spark, [*HEADERS, ("WP", "html", None, "wp-content"), ("Any", "html", None, "[a-z]+")])
+    expected = {(1, "Gate", "headers"), (1, "nginx", "headers"), (1, "WP", "html"), (1, "Any", "html")}
+    assert found(match.match_pages(page, catalog, headers="headers")) == expected
+    every = match.technologies(page, catalog, headers="headers")
+    assert sorted((r["page_id"], len(r["found"])) for r in every.collect()) == [(1, 1), (1, 4), (2, 0)]
+
+
+def test_joined_catalog_is_no_constant_of_the_plan(spark, monkeypatch, plan):
+    monkeypatch.setattr(match, "INDEX_ABOVE", 50)
+    catalog = spark.range(300).selectExpr("concat('app', id) app_name", "'html' evidence", "cast(null as string) header_name", "concat('unmistakable-', id, '[a-z]+') pattern")
+    page = spark.createDataFrame([(1, "x unmistakable-7b unmistakable-299 unmistakable-12é")], "page_id int, html string")
+    result = match.match_pages(page, catalog)
+    assert found(result) == {(1, "app7", "html")}
+    assert "unmistakable" not in result._jdf.queryExecution().toString()
+
+
+def test_large_catalogs_are_refused_on_streams(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(match, "MAX_RULES", 2)
-    page = spark.createDataFrame([(1, "wp-content", {"Server": "nginx", "X-Shop-By": "One Shop Server"}), (1, "", None)], "page_id int, html string, headers map<string,string>")
+    _, df = made_pages(spark, 3)
+    df.write.parquet(str(tmp_path / "in"))
+    with pytest.raises(match.TooManyRules):
+        match.match_pages(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), made_catalog(spark, True)[1])
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_extractor_with_headers(spark, monkeypatch, most):
+    monkeypatch.setattr(match, "INDEX_ABOVE", most)
+    pages = spark.createDataFrame([(1, "wp-content a@b.cc", {"Server": "nginx"}), (1, "a@b.cc", None)], "page_id int, html string, headers map<string,string>")
     catalog = catalog_rows(spark, [*HEADERS, ("WP", "html", None, "wp-content")])
-    assert found(match.match_any(page, catalog, headers="headers")) == {(1, "1Shop", "headers"), (1, "nginx", "headers"), (1, "WP", "html")}
+    rows = match.extract(pages, [match.email_extractor(), match.technology_extractor(catalog, headers="headers")])
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "email", "a@b.cc")] * 2 + [(1, "technology:headers", "nginx"), (1, "technology:html", "WP")]
+
+
+def test_pieces():
+    for text in (b"", b"a", b"ab", b"abcdefghijk", bytes(range(256)) * 3):
+        for size in rule_index.PIECE_SIZES:
+            runs = [text[i : i + size] for i in range(len(text) - size + 1)]
+            found = [int(x) for part in rule_index.pieces(text, size) for x in part]
+            assert len(found) == len(runs) and len(set(found)) == len(set(runs))
+    long = bytes(range(251)) * 5_000
+    assert sum(len(p) for p in rule_index.pieces(long, 8)) == len(long) - 7
+    words = np.full(1 << 10, 2**64 - 1, np.uint64)
+    inside = {int(x) for x in rule_index.page_pieces("nach außen gehen".encode(), words)}
+    assert {int(x) for x in rule_index.rule_pieces(["außen", "ch", "geh"])} <= inside
+    assert not len(rule_index.page_pieces(b"", words))
 
 
-def test_queries_with_derived_catalogs_above_the_bound(spark, monkeypatch):
+def test_queries_with_derived_catalogs_as_tables(spark, monkeypatch):
     from crawlspark.plans import queries
 
-    names = ["tech_many_signatures", "tech_repeated_pages"]
-    whole = [sorted(map(tuple, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names]
-    monkeypatch.setattr(match, "MAX_RULES", 40)
-    assert [sorted(map(tuple, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names] == whole
+    names = ["tech_many_signatures", "tech_repeated_pages", "extract_findings", "technology_scan_job"]
+    whole = [sorted(map(str, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names]
+    monkeypatch.setattr(match, "INDEX_ABOVE", 0)
+    assert [sorted(map(str, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names] == whole

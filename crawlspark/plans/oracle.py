@@ -470,3 +470,31 @@ pairs AS (
 SELECT window_start, fqdn_no_www, seen_time_epoch, page_url, name_type_list
 FROM firsts JOIN pairs USING (window_start, fqdn_no_www)
 WHERE rn = 1"""
+
+STREAM_HOST_HOLD = """
+WITH RECURSIVE facts AS (
+  SELECT epoch_us(ts) AS us, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS seen_time_epoch,
+         'user-' || user_id AS fqdn_no_www, 'event-' || event_id AS page_url,
+         event_type AS app_name
+  FROM events),
+starts AS (
+  SELECT fqdn_no_www, min(us) AS hold_start FROM facts GROUP BY fqdn_no_www
+  UNION ALL
+  SELECT s.fqdn_no_www, min(f.us)
+  FROM starts s JOIN facts f ON f.fqdn_no_www = s.fqdn_no_www AND f.us >= s.hold_start + 86400000000
+  GROUP BY s.fqdn_no_www, s.hold_start),
+held AS (
+  SELECT f.*, s.hold_start
+  FROM facts f JOIN starts s
+    ON f.fqdn_no_www = s.fqdn_no_www AND f.us >= s.hold_start AND f.us < s.hold_start + 86400000000),
+firsts AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY hold_start, fqdn_no_www ORDER BY seen_time_epoch, page_url) AS rn
+  FROM held),
+pairs AS (
+  SELECT hold_start, fqdn_no_www,
+         string_agg(app_name || ':html', ',' ORDER BY app_name) AS name_type_list
+  FROM (SELECT DISTINCT hold_start, fqdn_no_www, app_name FROM held) GROUP BY 1, 2)
+SELECT hold_start, fqdn_no_www, seen_time_epoch, page_url, name_type_list
+FROM firsts JOIN pairs USING (hold_start, fqdn_no_www)
+WHERE rn = 1"""

@@ -15,7 +15,7 @@ from crawlspark.plans.derived import table
 from crawlspark.runtime import work_dir
 from crawlspark.schemas import HOST_ROLLUP, MATCH_FACT
 from crawlspark.sources import catalog, crawl_index, url_files, warc
-from crawlspark.streaming import fact_stream, url_stream
+from crawlspark.streaming import fact_stream, host_hold, url_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -684,11 +684,10 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(fact_stream.stream_distinct_signatures(timed).select(*rollup.SIGNATURE))
 
 
-@query(oracle.STREAM_HOST_WINDOW)
-def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as facts of their users, held for a day, and what is held when they end."""
+def _event_facts(events: DataFrame) -> DataFrame:
+    """Events as match facts of their users."""
     epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    columns = (
+    return events.select(
         F.floor(epoch / 1_000_000).alias("seen_time_epoch"),
         F.lit(PROCESS_EPOCH).cast("long").alias("process_time_epoch"),
         F.lit("events").alias("source"),
@@ -698,6 +697,11 @@ def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("app_name"),
         F.timestamp_micros(epoch).alias("seen_ts"),
     )
+
+
+@query(oracle.STREAM_HOST_WINDOW)
+def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as facts of their users, held for a day, and what is held when they end."""
     rolled = (
         F.unix_seconds("window.start").alias("window_start"),
         "fqdn_no_www",
@@ -705,8 +709,24 @@ def stream_host_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_url",
         _joined("name_type_list").alias("name_type_list"),
     )
-    events = _stream(spark, sf_dir, "events").select(*columns)
+    events = _event_facts(_stream(spark, sf_dir, "events"))
     emitted = _run(fact_stream.stream_host_rollup(events, hold="1 day").select(*rolled))
-    events = table(spark, sf_dir, "events").select(*columns)
-    still_open = fact_stream.open_host_windows(events, hold="1 day")
+    still_open = fact_stream.open_host_windows(_event_facts(table(spark, sf_dir, "events")), hold="1 day")
+    return emitted.unionByName(still_open.select(*rolled))
+
+
+@query(oracle.STREAM_HOST_HOLD)
+def stream_host_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as facts of their users, held for a day from a user's first on, and what is held when they end."""
+    rolled = (
+        F.unix_micros("hold_start").alias("hold_start"),
+        "fqdn_no_www",
+        "seen_time_epoch",
+        "page_url",
+        _joined("name_type_list").alias("name_type_list"),
+    )
+    events = _event_facts(_stream(spark, sf_dir, "events"))
+    users = table(spark, sf_dir, "events").select("user_id").distinct().count()
+    emitted = _run(host_hold.stream_host_hold(events, hold="1 day", max_hosts=64 * max(1, users)).select(*rolled))
+    still_open = host_hold.open_host_holds(_event_facts(table(spark, sf_dir, "events")), hold="1 day")
     return emitted.unionByName(still_open.select(*rolled))

@@ -82,17 +82,34 @@ def _first(df: DataFrame, cap: int, *keys: str) -> DataFrame:
     return ranked.where(F.col("_rank") <= cap).drop("_rank")
 
 
-def cap_per_domain(df: DataFrame, cap: int) -> DataFrame:
+def cap_per_domain(df: DataFrame, cap: int, seen: DataFrame | None = None) -> DataFrame:
     """The first ``cap`` pages of every domain and all homepages; 0 keeps everything.
 
     Homepages count toward the cap but are never dropped, so they need no ranking of their own:
     they are taken from the input as they are, and only the other pages come from the ranking.
+    With ``seen``, the ``counts_with`` of earlier runs, the pages of these go first.
     """
     if cap == 0:
         return df
     home = urls.is_homepage(F.col("url"))
-    others = first_per_domain(df, cap).where(~home)
-    return others.unionByName(df.where(home))
+    first = first_per_domain(df, cap)
+    if seen is not None:
+        # what is left of a domain here is at most cap rows
+        host = urls.host_no_www(F.col("url"))
+        order = Window.partitionBy("_host").orderBy(*QUOTA_ORDER)
+        ranked = first.withColumn("_host", host).withColumn("_rank", F.row_number().over(order))
+        before = seen.select(F.col("fqdn_no_www").alias("_host"), F.col("pages").alias("_before"))
+        place = F.col("_rank") + F.coalesce("_before", F.lit(0))
+        first = ranked.join(before, "_host", "left").where(place <= cap).select(*df.columns)
+    return first.where(~home).unionByName(df.where(home))
+
+
+def counts_with(df: DataFrame, cap: int, seen: DataFrame) -> DataFrame:
+    """``fqdn_no_www, pages``: the counts of earlier runs, ``seen``, and of ``df`` in one table, up to the cap."""
+    both = seen.select("fqdn_no_www", "pages").unionByName(count_per_domain(df))
+    # no run needs to know more than that a domain is full
+    pages = F.least(F.sum("pages"), F.lit(cap)).cast("long")
+    return both.groupBy("fqdn_no_www").agg(pages.alias("pages"))
 
 
 def count_root_pages(df: DataFrame) -> DataFrame:

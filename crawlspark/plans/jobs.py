@@ -16,12 +16,15 @@ from crawlspark.operators.select_urls import (
     URL_COLUMNS,
     cap_per_domain,
     count_root_pages,
+    counts_with,
     root_pages,
     select_root_urls,
 )
 from crawlspark.runtime import work_dir
+from crawlspark.schemas import DOMAIN_COUNTS, DONE_FILES
+from crawlspark.sources import run_log
 from crawlspark.sources.crawl_index import materialize, read_index
-from crawlspark.sources.url_files import mark_done, read_done, read_selected, read_unseen, write_rolled
+from crawlspark.sources.url_files import read_selected, read_unseen, write_rolled
 from crawlspark.sources.warc import failed_records, read_records
 from crawlspark.streaming.url_stream import stream_cap_per_domain
 
@@ -92,33 +95,52 @@ def technology_scan(
     out: str,
     cap: int = DEFAULT_CAP,
     process_epoch: int | None = None,
+    seen: DataFrame | None = None,
+    rejects: str | None = None,
     **options,
 ) -> Observation:
     """B2: the technologies of every host of a crawl as JSON lines, and the URLs whose fetch failed,
-    with the reason, in ``rejects_of(out)``.
+    with the reason, in ``rejects``, by default ``rejects_of(out)``.
 
     The cap and the root filter come before the fetch, which is the expensive step. What is found is
-    written before it is rolled up, so a lost executor costs no second fetch. The observation counts
-    fetched and failed records.
+    written before it is rolled up, so a lost executor costs no second fetch. ``seen`` are the pages per
+    domain of earlier runs, which count toward the cap. The observation counts fetched and failed records.
     """
-    wanted = root_pages(cap_per_domain(selected, cap))
-    findings, counters = _scan(wanted, archive_uri, catalog, rejects_of(out), **options)
+    wanted = root_pages(cap_per_domain(selected, cap, seen))
+    findings, counters = _scan(wanted, archive_uri, catalog, rejects or rejects_of(out), **options)
     write_rolled(rollup_hosts(technology_facts(findings, process_epoch)), out)
     return counters
 
 
 def technology_scan_unseen(
-    spark: SparkSession, root: str, done_path: str, archive_uri: str, catalog: DataFrame, out: str, **options
+    spark: SparkSession,
+    root: str,
+    archive_uri: str,
+    catalog: DataFrame,
+    base: str,
+    cap: int = DEFAULT_CAP,
+    **options,
 ) -> Observation:
-    """B2 over the files of selected URLs below ``root`` that the done table does not list.
+    """B2 over the files of selected URLs below ``root`` that no earlier run into ``base`` has read.
 
-    They are listed there once the results are written: a run that fails is repeated whole. The cap
-    holds within a run, and every run needs an ``out`` of its own.
+    A run writes its ``results``, ``rejects``, the ``files`` it has read and the ``counts`` per domain, and
+    commits them together: one that fails leaves none of them and is repeated whole. The cap holds over
+    all runs. ``run_log.read`` gives the tables of the committed runs.
     """
-    mark_done(spark.createDataFrame([], "path string"), done_path)  # there may be no table yet
-    selected, files = read_unseen(spark, root, read_done(spark, done_path))
-    counters = technology_scan(selected, archive_uri, catalog, out, **options)
-    mark_done(files, done_path)
+    run, version = run_log.begin(spark, base)
+    rows, files = read_unseen(spark, root, run_log.read(spark, base, "files", DONE_FILES))
+    held = work_dir(spark, "selected")
+    rows.write.parquet(held)
+    selected = spark.read.schema(rows.schema).parquet(held)
+    seen = run_log.read_last(spark, base, "counts", DOMAIN_COUNTS)
+    out = {kind: run_log.part(base, kind, run) for kind in ("results", "rejects", "files", "counts")}
+    counters = technology_scan(
+        selected, archive_uri, catalog, out["results"], cap, seen=seen, rejects=out["rejects"], **options
+    )
+    files.select("path").write.parquet(out["files"])
+    # without a cap nothing is counted, but what earlier runs have counted stays
+    (counts_with(selected, cap, seen) if cap else seen).write.parquet(out["counts"])
+    run_log.commit(spark, base, run, version)
     return counters
 
 

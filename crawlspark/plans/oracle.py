@@ -140,6 +140,14 @@ WITH {RANKED} SELECT page_id, variant, url FROM ranked WHERE rn <= 3"""
 CAPPED_PAGES = f"""
 WITH {RANKED} SELECT page_id, variant, url FROM capped WHERE {_p7("url")}"""
 
+CAPPED_RUNS = f"""
+WITH {SELECTED},
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY fqdn_no_www ORDER BY page_id % 2, url, warc_filename, warc_record_offset) AS rn
+  FROM selected)
+SELECT page_id, variant, url FROM ranked WHERE rn <= 3 OR {_homepage("url")}"""
+
 CAPPED_HOMEPAGES = f"""
 WITH {RANKED} SELECT page_id, variant, url FROM capped WHERE {_homepage("url")}"""
 

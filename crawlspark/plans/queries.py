@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlspark.functions import crawls, emails, patterns, payload, urls
 from crawlspark.operators import lookup, match, rollup, select_urls
@@ -13,8 +14,8 @@ from crawlspark.operators.emails import emails_by_host, explode_emails
 from crawlspark.plans import derived, jobs, oracle
 from crawlspark.plans.derived import table
 from crawlspark.runtime import work_dir
-from crawlspark.schemas import HOST_ROLLUP, MATCH_FACT
-from crawlspark.sources import catalog, crawl_index, url_files, warc
+from crawlspark.schemas import DOMAIN_COUNTS, HOST_ROLLUP, MATCH_FACT
+from crawlspark.sources import catalog, crawl_index, run_log, url_files, warc
 from crawlspark.streaming import fact_stream, host_hold, url_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +208,23 @@ def capped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_urls.root_pages(capped).select("page_id", "variant", "url")
 
 
+@query(oracle.CAPPED_RUNS)
+def capped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9, W1 over two runs of half the pages each, with a third that fails between them."""
+    base = work_dir(spark, "runs")
+    selected = derived.selected_urls(spark, sf_dir)
+    for half, stopped in ((0, False), (1, True), (1, False)):
+        run, version = run_log.begin(spark, base)
+        rows = selected.where(F.col("page_id") % 2 == half)
+        seen = run_log.read_last(spark, base, "counts", DOMAIN_COUNTS)
+        kept = select_urls.cap_per_domain(rows, CAP, seen).select("page_id", "variant", "url")
+        kept.write.parquet(run_log.part(base, "kept", run))
+        select_urls.counts_with(rows, CAP, seen).write.parquet(run_log.part(base, "counts", run))
+        if not stopped:
+            run_log.commit(spark, base, run, version)
+    return run_log.read(spark, base, "kept", kept.schema).drop("run")
+
+
 @query(oracle.CAPPED_HOMEPAGES)
 def capped_homepages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1, P9, P8."""
@@ -601,17 +619,19 @@ def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, out = work_dir(spark, "selected"), work_dir(spark, "rejected")
     crawl_index.materialize(broken, root)
     rules = derived.sample_catalog(spark)
-    jobs.technology_scan_unseen(spark, root, f"{out}-done", uri, rules, f"{out}-batch", cap=0)
+    jobs.technology_scan_unseen(spark, root, uri, rules, f"{out}-batch", cap=0)
     running = jobs.technology_stream(
         url_stream.stream_selected(spark, root), uri, rules, f"{out}-stream", f"{out}-checkpoint", cap=0
     )
     running.awaitTermination()
 
-    def rejects(via: str) -> DataFrame:
-        rows = spark.read.schema("url string, error string").json(jobs.rejects_of(f"{out}-{via}"))
+    def rejects(rows: DataFrame, via: str) -> DataFrame:
         return rows.select("url", F.substring_index("error", ":", 1).alias("reason"), F.lit(via).alias("via"))
 
-    return rejects("batch").unionByName(rejects("stream"))
+    schema = T.StructType().add("url", "string").add("error", "string")
+    batch = run_log.read(spark, f"{out}-batch", "rejects", schema, "json")
+    streamed = spark.read.schema(schema).json(jobs.rejects_of(f"{out}-stream"))
+    return rejects(batch, "batch").unionByName(rejects(streamed, "stream"))
 
 
 # --- streams ---------------------------------------------------------------------------------

@@ -75,3 +75,6 @@ CRAWL_CALENDAR = _struct(crawl=_S, epoch=_L)
 
 # List of files already read
 DONE_FILES = _struct(path=_S)
+
+# Pages of each domain that earlier runs let through, up to the cap
+DOMAIN_COUNTS = _struct(fqdn_no_www=_S, pages=_L)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlspark.plans import jobs
-from crawlspark.schemas import CRAWL_INDEX, HOST_ROLLUP, MATCH_FACT
+from crawlspark.schemas import CRAWL_INDEX, DONE_FILES, HOST_ROLLUP, MATCH_FACT, SELECTED_URL
+from crawlspark.sources import run_log
 from crawlspark.sources.catalog import catalog_rows
 from crawlspark.sources.url_files import read_selected
 from crawlspark.streaming.url_stream import stream_selected
@@ -88,17 +89,30 @@ def test_pages_are_fetched_once(spark, crawl, plan):
     assert plan(jobs.technology_facts(findings)).count("MapInPandas") == 1
 
 
-def test_files_are_scanned_once(spark, crawl):
-    root, done = str(crawl / "selected"), str(crawl / "done")
+def test_files_are_scanned_once(spark, crawl, monkeypatch):
+    root, base = str(crawl / "selected"), str(crawl / "scans")
     jobs.index_selection(spark, str(crawl / "index"), ["CC-MAIN-2020-40"], root)
 
-    def scan(out):
+    def scan():
         catalog = catalog_rows(spark, CATALOG)
-        counters = jobs.technology_scan_unseen(spark, root, done, f"file://{crawl}/archive", catalog, str(crawl / out))
-        return counters.get, spark.read.schema(HOST_ROLLUP).json(str(crawl / out)).count()
-
-    assert scan("first") == ({"rows": 4, "failed": 0}, 2)
-    assert scan("second") == ({"rows": 0, "failed": 0}, 0)
+        return jobs.technology_scan_unseen(spark, root, f"file://{crawl}/archive", catalog, base).get
+
+    def tables():
+        kinds = (("results", HOST_ROLLUP, "json"), ("files", DONE_FILES, "parquet"), ("rejects", SELECTED_URL, "json"))
+        return [run_log.read(spark, base, kind, schema, fmt).count() for kind, schema, fmt in kinds]
+
+    # stopped when all is written but the commit: nothing is there, and the next run begins anew
+    monkeypatch.setattr(run_log, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        scan()
+    assert tables() == [0, 0, 0]
+    monkeypatch.undo()
+    assert scan() == {"rows": 4, "failed": 0}
+    files = tables()[1]
+    assert tables() == [2, files, 0] and files > 0
+    assert scan() == {"rows": 0, "failed": 0}
+    assert tables() == [2, files, 0]
+    assert [r["version"] for r in run_log.commits(spark, base).orderBy("version").collect()] == [1, 2]
 
 
 def test_stream(spark, crawl):

@@ -45,7 +45,7 @@ RULES_PER_SHARE = 5_000
 MAX_SHARES = 20
 
 # Rules that a plan holds when alternatives are split; larger catalogs are joined as a table
-INDEX_ABOVE = 20_000
+INDEX_ABOVE = 5_000
 
 # What a catalog for a stream may hold, which is always a part of the plan
 MAX_RULES = 200_000

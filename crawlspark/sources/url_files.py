@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlspark.operators.totals import running_total
 from crawlspark.runtime import work_dir
 from crawlspark.schemas import DONE_FILES, SELECTED_URL
 
@@ -103,5 +104,12 @@ def read_done(spark: SparkSession, done_path: str) -> DataFrame:
 
 
 def write_rolled(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """JSON lines, a new file after ``rows_per_file`` rows."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(path)
+    """JSON lines in files of ``rows_per_file`` rows, all full but the last, however many tasks ``df`` has.
+
+    The rows are numbered by running totals and go to the file of their number, one task each. No rows
+    leave one empty file.
+    """
+    rows, total = running_total(df, F.lit(1), "__number")
+    files = max(1, -(-total // rows_per_file))
+    number = F.expr(f"__number div {rows_per_file}").cast("int")
+    rows.repartitionById(files, number).drop("__number").write.mode("overwrite").json(path)

@@ -16,21 +16,27 @@ from functools import lru_cache
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlspark.functions.payload import decode_payload
+from crawlspark.operators.totals import equal_shares
 from crawlspark.schemas import ARCHIVE_RECORD
 
-# Records this close together are read by the same task, so a file opens once for them
-READ_CHUNK_BYTES = 64 * 1024 * 1024
+# A task reads or scans this much, if there is enough for all cores: less than FEW_BYTES is not divided
+TASK_BYTES = 512 * 1024 * 1024
+FEW_BYTES = 4 * 1024 * 1024
+# What opening a record costs, in bytes that could be read meanwhile
+READ_COST_BYTES = 32 * 1024
+# Above so many tasks their bytes grow instead
+MAX_TASKS = 100_000
 # Reads that a task has under way at a time
 READ_THREADS = 16
 # A read that the storage refuses is tried so often, after a pause that doubles
 READ_ATTEMPTS = 3
 PAUSE_SECONDS = 0.5
-# One task scans this much of an archive
+# An archive is scanned in ranges of this size
 SPLIT_BYTES = 128 * 1024 * 1024
 # Rows go back to Spark once they hold this much
 YIELD_BYTES = 16 * 1024 * 1024
@@ -44,6 +50,7 @@ def read_records(
     base_uri: str,
     partitions: int | None = None,
     threads: int = READ_THREADS,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Add ``payload`` and ``error`` to URLs with file, offset and length.
 
@@ -51,17 +58,13 @@ def read_records(
     cannot be read has a null payload and the reason in ``error``; errors of the storage, but for a
     missing file, are tried ``READ_ATTEMPTS`` times first.
 
-    The rows are small but each costs a read, so the number of tasks is set here and not derived
-    from the size of the rows, and a task has several reads under way. A file with very many rows
-    is spread over tasks by offset.
+    The rows are small but each costs a read, so tasks are cut by the bytes they have to read: from the
+    running total of the record lengths over file and offset. They follow the bytes in number, and a
+    file that many rows point to is shared. ``task_bytes`` counts ``READ_COST_BYTES`` for every record.
+    A null length counts as 0.
     """
-    chunk = F.floor(F.col("warc_record_offset") / READ_CHUNK_BYTES)
-    placed = (
-        selected.withColumn("_chunk", chunk)
-        .repartition(partitions or io_tasks(selected), "warc_filename", "_chunk")
-        .sortWithinPartitions("warc_filename", "warc_record_offset")
-        .drop("_chunk")
-    )
+    cost = F.greatest(F.col("warc_record_length").cast("long"), F.lit(0)) + READ_COST_BYTES
+    placed = _by_bytes(selected, cost, ["warc_filename", "warc_record_offset"], task_bytes, partitions)
     schema = T.StructType(
         [
             *selected.schema.fields,
@@ -105,26 +108,38 @@ def read_records(
     return placed.mapInPandas(fetch, schema)
 
 
-def io_tasks(df: DataFrame) -> int:
-    """Number of tasks for work whose cost is not in the size of its input rows."""
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+def _by_bytes(
+    rows: DataFrame, amount: Column, order: list[str], task_bytes: int, partitions: int | None
+) -> DataFrame:
+    """Rows in partitions of some ``task_bytes``, or in ``partitions`` equal ones."""
+    if partitions:
+        return equal_shares(rows, amount, order, 1, partitions, partitions)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return equal_shares(rows, amount, order, task_bytes, at_most=MAX_TASKS, spread=(cores, FEW_BYTES))
 
 
 def scan_archives(
-    files: DataFrame, split_bytes: int = SPLIT_BYTES, partitions: int | None = None
+    files: DataFrame,
+    split_bytes: int = SPLIT_BYTES,
+    partitions: int | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """All records of the archives listed with ``path`` and ``length``.
 
-    An archive is cut into ranges that separate tasks read; a record belongs to the range that its
-    first byte is in. Members that cannot be unpacked give a row with ``error``, and reading goes on
+    An archive is cut into ranges, and the ranges of all archives into tasks of ``task_bytes``, so neither
+    one large archive nor very many small ones are a task of their own; a record belongs to the range
+    that its first byte is in. Members that cannot be unpacked give a row with ``error``, and reading goes on
     at the next one. The rows are the same however the archives are cut.
     """
     starts = F.sequence(
         F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long")
     )
-    ranges = files.where(F.col("length") > 0).select("path", F.explode(starts).alias("start"))
+    size = F.least(F.lit(split_bytes).cast("long"), F.col("length") - F.col("start"))
+    ranges = (
+        files.where(F.col("length") > 0)
+        .select("path", "length", F.explode(starts).alias("start"))
+        .select("path", "start", size.alias("size"))
+    )
     names = ARCHIVE_RECORD.fieldNames()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,8 +156,8 @@ def scan_archives(
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    tasks = partitions or io_tasks(files)
-    return ranges.repartition(tasks, "path", "start").mapInPandas(scan, ARCHIVE_RECORD)
+    placed = _by_bytes(ranges, F.col("size"), ["path", "start"], task_bytes, partitions)
+    return placed.mapInPandas(scan, ARCHIVE_RECORD)
 
 
 def page_texts(records: DataFrame) -> DataFrame:

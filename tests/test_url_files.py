@@ -1,6 +1,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlspark.schemas import SELECTED_URL
@@ -52,8 +53,17 @@ def test_unseen(spark, tmp_path):
     assert rows.collect() == [] and rows.schema == SELECTED_URL
 
 
-def test_rolled_sink(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 25])
+def test_rolled_sink_fills_files(spark, tmp_path, parts):
     out = tmp_path / "out"
-    url_files.write_rolled(spark.range(25).coalesce(1), str(out), rows_per_file=10)
-    parts = sorted(len(p.read_text().splitlines()) for p in out.glob("part-*"))
-    assert parts == [5, 10, 10]
+    url_files.write_rolled(spark.range(25).repartition(parts), str(out), rows_per_file=10)
+    files = [p.read_text().splitlines() for p in out.glob("part-*")]
+    assert sorted(map(len, files)) == [5, 10, 10]
+    assert sorted(json.loads(r)["id"] for f in files for r in f) == list(range(25))
+
+
+def test_rolled_sink_without_rows(spark, tmp_path):
+    out = tmp_path / "out"
+    url_files.write_rolled(spark.range(5), str(out), rows_per_file=10)
+    url_files.write_rolled(spark.range(0), str(out), rows_per_file=10)
+    assert spark.read.schema("id long").json(str(out)).collect() == []

@@ -75,12 +75,34 @@ def test_read(spark, archive):
     assert warc.page_texts(records).count() == 40
 
 
-def test_one_large_file_is_read_by_many_tasks(spark, monkeypatch, archive):
-    root, _, offsets = archive
-    monkeypatch.setattr(warc, "READ_CHUNK_BYTES", 10_000)
-    df = spark.createDataFrame([(f"u{i}", "a.warc.gz", *offsets[i + 1], "C") for i in range(40)], SCHEMA)
-    records = warc.read_records(df, f"file://{root}", partitions=8)
-    assert records.select(F.spark_partition_id()).distinct().count() > 3
+def test_tasks_follow_bytes_with_one_hot_archive(spark, monkeypatch):
+    """A third of the rows, and half of the bytes, are in one archive."""
+    monkeypatch.setattr(warc, "READ_COST_BYTES", 0)
+    source = random.Random(5)
+    rows = [
+        (f"u{i}", "hot.gz" if i % 3 == 0 else f"a{i % 50}.gz", i * 1000, source.randint(100, 900) * (2 if i % 3 == 0 else 1), "C")
+        for i in range(6000)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    total = sum(r[3] for r in rows)
+    for task_bytes, tasks in ((total // 24 + 1, 24), (total // 7 + 1, 7)):
+        cost = F.col("warc_record_length")
+        placed = warc._by_bytes(df, cost, ["warc_filename", "warc_record_offset"], task_bytes, None)
+        got = placed.groupBy(F.spark_partition_id().alias("t")).agg(
+            F.sum("warc_record_length").alias("n"), F.count("*").alias("rows"), F.collect_set("warc_filename").alias("files")
+        ).collect()
+        assert len(got) == tasks and sum(r["rows"] for r in got) == 6000
+        assert max(r.n for r in got) <= 1.05 * total / tasks
+        assert sum("hot.gz" in r.files for r in got) >= tasks // 3
+    assert warc.read_records(df, "file:///none", partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_ranges_of_archives_share_tasks(spark):
+    """One large archive and many small ones; a small whole is given to all cores."""
+    files = spark.createDataFrame([("big", 10_000_000)] + [(f"s{i}", 1000) for i in range(3000)], "path string, length long")
+    parts = warc.scan_archives(files, split_bytes=100_000, task_bytes=1_000_000).rdd.getNumPartitions()
+    assert parts == 13
+    assert warc.scan_archives(files.limit(0)).collect() == []
 
 
 def test_text_of_both_encodings(spark, tmp_path):

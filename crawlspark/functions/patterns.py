@@ -39,6 +39,17 @@ def grouped(pattern: Column) -> Column:
     return F.concat(F.lit("(?:"), pattern, F.lit(")"))
 
 
+def can_join(pattern: Column) -> Column:
+    """False for patterns whose meaning hangs on the text around them: references to groups, named groups,
+    quoting, and spaces that are left out."""
+    return ~pattern.rlike(r"\\[1-9kQ]|\(\?<[a-zA-Z]|\(\?[a-zA-Z]*x")
+
+
+def union(parts: Column) -> Column:
+    """one pattern that matches where any pattern of an array does."""
+    return F.array_join(F.transform(parts, grouped), "|")
+
+
 def body_regex(pattern: Column) -> Column:
     """html and script patterns match anywhere, case-sensitive.
 

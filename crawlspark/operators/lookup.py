@@ -6,11 +6,13 @@ broadcast, and values that many rows share are split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.crawls import crawl_epoch
 from crawlspark.runtime import work_dir
+from crawlspark.schemas import APP_DIM
+from crawlspark.sources import run_log
 
 
 def crawl_calendar(crawls: DataFrame) -> DataFrame:
@@ -44,6 +46,36 @@ def with_app_name(df: DataFrame, dim: DataFrame) -> DataFrame:
     return df.join(dim, "app_id", "left")
 
 
+def read_dim(spark: SparkSession, base: str) -> DataFrame:
+    """M7: the app dictionary kept below ``base``, as its last commit left it."""
+    return run_log.read(spark, base, "ids", APP_DIM).drop("run")
+
+
+def grow_dim(spark: SparkSession, base: str, names: DataFrame) -> DataFrame:
+    """The app dictionary below ``base`` with the ``app_name`` of ``names`` that it lacked.
+
+    New names get the ids after the highest one, in their order; ids once given are never written again.
+    New rows become visible by one commit, and of two runs that grow the same state one fails, so no id
+    is given twice. Null names get none. Nothing is committed if there is nothing new.
+    """
+    run, version = run_log.begin(spark, base)
+    held = read_dim(spark, base)
+    last = held.agg(F.max("app_id")).first()[0] or 0
+    new = names.select("app_name").where("app_name is not null").distinct().join(held, "app_name", "left_anti")
+    numbered = dense_ids(new, "app_name", "app_id")
+    if numbered.isEmpty():
+        return held
+    ids = numbered.select((F.col("app_id") + F.lit(last)).alias("app_id"), "app_name")
+    ids.write.parquet(run_log.part(base, "ids", run))
+    run_log.commit(spark, base, run, version)
+    return read_dim(spark, base)
+
+
+def with_kept_app_id(df: DataFrame, base: str) -> DataFrame:
+    """J5 with a dictionary that grows: a name seen for the first time gets the next id."""
+    return with_app_id(df, grow_dim(df.sparkSession, base, df))
+
+
 def dense_ids(df: DataFrame, order: str, name: str) -> DataFrame:
     """Number the rows from 1 by ``order``, whose values are distinct.
 

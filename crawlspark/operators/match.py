@@ -16,6 +16,7 @@ and pages are then joined by the text pieces they share (``rule_index``).
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
@@ -38,6 +39,9 @@ ONE_BY_ONE_MAX = 12
 # are compiled once
 LITERAL_MAX = 64
 
+# Up to this many header rules are constants, behind one expression per header name
+UNION_MAX = 2_000
+
 # Rules that travel to the tasks as one constant; a larger catalog is several
 RULES_PER_SHARE = 5_000
 
@@ -201,9 +205,9 @@ def _check_headers(rules: list[dict], headers: Column) -> Column:
     """J3 inside the row: the patterns listed for a header's name against its value."""
     if len(rules) <= LITERAL_MAX:
         return _literal_check(rules, None, headers)
-    by_name: dict[str, list[dict]] = {}
-    for rule in rules:
-        by_name.setdefault(rule["header_name"], []).append(rule)
+    if len(rules) <= UNION_MAX:
+        return _union_check(rules, lambda name: F.element_at(headers, F.lit(name)))
+    by_name = _by_name(rules)
     known = F.from_json(F.lit(json.dumps(by_name)), f"map<string,{_RULES}>")
 
     def apps(header: Column) -> Column:
@@ -213,6 +217,40 @@ def _check_headers(rules: list[dict], headers: Column) -> Column:
     return F.flatten(F.transform(F.map_entries(headers), apps))
 
 
+def _by_name(rules: list[dict]) -> dict[str, list[dict]]:
+    by_name: dict[str, list[dict]] = {}
+    for rule in rules:
+        by_name.setdefault(rule["header_name"], []).append(rule)
+    return by_name
+
+
+def _union(rules: list[dict]) -> str | None:
+    """one expression for the rules of a header name, if all can stand beside each other."""
+    regexes = sorted({rule["regex"] for rule in rules})
+    if any(re.search(r"\\[1-9kQ]|\(\?<[a-zA-Z]|\(\?[a-zA-Z]*x", regex) for regex in regexes):
+        return None
+    # flags inside a group end with it
+    return "|".join(f"(?:{regex})" for regex in regexes)
+
+
+def _union_check(rules: list[dict], value_of: Callable[[str], Column]) -> Column:
+    """Header rules as constants: a name's rules are tried one by one only where their union matches."""
+    found = []
+    for name, own in _by_name(rules).items():
+        value, union = value_of(name), _union(own)
+        hits = [
+            F.when(
+                F.rlike(value, F.lit(rule["regex"])),
+                F.struct(F.lit(rule["app_name"]).alias("app_name"), F.lit(rule["app_type"]).alias("app_type")),
+            )
+            for rule in own
+        ]
+        apps = F.array_compact(F.array(*hits))
+        found.append(apps if union is None else F.when(F.rlike(value, F.lit(union)), apps))
+    none = F.array().cast(_FOUND)
+    return F.concat(*(F.coalesce(f, none) for f in found))
+
+
 def _apps(rules: Column) -> Column:
     return F.transform(
         rules, lambda r: F.struct(r["app_name"].alias("app_name"), r["app_type"].alias("app_type"))
@@ -251,10 +289,21 @@ def _text_finder(needed: list[list[str]]) -> Callable[[Column], Column]:
 
 
 def match_headers(headers: DataFrame, catalog: DataFrame) -> DataFrame:
-    """J3 on a long table with ``header_name``, ``header_value``: join on the name, then regex."""
-    rules = catalog.where(F.col("evidence") == "headers").select(
-        "app_name", "header_name", patterns.header_regex(F.col("pattern")).alias("_regex")
-    )
+    """J3 on a long table with ``header_name``, ``header_value``: join on the name, then regex.
+
+    Up to UNION_MAX rules, only rows that the union of their name's rules matches are joined; the unions are
+    constants, compiled once a task.
+    """
+    wanted = catalog.where((F.col("evidence") == "headers") & F.col("header_name").isNotNull())
+    rules = wanted.select("app_name", "header_name", patterns.header_regex(F.col("pattern")).alias("_regex"))
+    listed = rules.limit(UNION_MAX + 1).collect()
+    if len(listed) <= UNION_MAX:
+        by_name = _by_name([{"header_name": r["header_name"], "regex": r["_regex"]} for r in listed])
+        hit = F.lit(False)
+        for name, own in by_name.items():
+            union, named = _union(own), F.col("header_name") == F.lit(name)
+            hit = hit | (named if union is None else named & F.rlike("header_value", F.lit(union)))
+        headers = headers.where(hit)
     kept = [c for c in headers.columns if c not in ("header_name", "header_value")]
     return (
         headers.join(broadcast_if_small(rules), "header_name")

@@ -21,7 +21,7 @@ from crawlspark.operators.select_urls import (
     select_root_urls,
 )
 from crawlspark.runtime import work_dir
-from crawlspark.schemas import DOMAIN_COUNTS, DONE_FILES
+from crawlspark.schemas import DOMAIN_COUNTS, DONE_FILES, STREAM_COUNTERS
 from crawlspark.sources import run_log
 from crawlspark.sources.crawl_index import materialize, read_index
 from crawlspark.sources.url_files import read_selected, read_unseen, write_rolled
@@ -76,6 +76,17 @@ def rejects_of(out: str) -> str:
     return f"{out.rstrip('/')}-rejects"
 
 
+def counters_of(out: str) -> str:
+    """The folder for a stream's counters beside that of the results."""
+    return f"{out.rstrip('/')}-counters"
+
+
+def stream_counters(spark: SparkSession, out: str) -> DataFrame:
+    """``trigger, fetched, failed, facts`` of every trigger of the stream that writes to ``out``, while it
+    runs and after it."""
+    return spark.read.schema(STREAM_COUNTERS).json(counters_of(out))
+
+
 def _scan(wanted: DataFrame, archive_uri: str, catalog: DataFrame, rejects: str, **options) -> tuple[DataFrame, Observation]:
     """Findings that are fetched and written once, with the failed ones as JSON lines in ``rejects``."""
     findings, counters = observed(
@@ -158,12 +169,19 @@ def technology_stream(
     ``rejects_of(out)``.
 
     A trigger writes to folders of its own and replaces them if it runs again, so every fact is
-    written once. The host rows are ``rollup_hosts`` of the facts.
+    written once. The host rows are ``rollup_hosts`` of the facts. What a trigger has fetched, failed to
+    fetch and found is counted while it is written, and kept with it: ``stream_counters``.
     """
+    spark = selected.sparkSession
 
     def scan(wanted: DataFrame, number: int) -> None:
-        findings, _ = _scan(wanted, archive_uri, catalog, f"{rejects_of(out)}/trigger={number}", **options)
-        technology_facts(findings, process_epoch).write.mode("overwrite").json(f"{out}/trigger={number}")
+        findings, counters = _scan(wanted, archive_uri, catalog, f"{rejects_of(out)}/trigger={number}", **options)
+        facts, found = observed(technology_facts(findings, process_epoch))
+        facts.write.mode("overwrite").json(f"{out}/trigger={number}")
+        fetched = counters.get
+        row = (number, fetched["rows"], fetched["failed"], found.get["rows"])
+        counts = spark.createDataFrame([row], STREAM_COUNTERS).drop("trigger")
+        counts.coalesce(1).write.mode("overwrite").json(f"{counters_of(out)}/trigger={number}")
 
     return (
         root_pages(stream_cap_per_domain(selected, cap))

@@ -205,6 +205,29 @@ SELECT app_name, non_capturing, '(?:' || non_capturing || ')' AS grouped,
        '(?sid)^(?:' || non_capturing || ')' AS header_regex
 FROM apps"""
 
+CATALOG_AMBIGUOUS = r"""
+SELECT p_name || '#' || p_partkey AS app_name, unnest([
+         '(x+)+' || p_partkey || '$', '(xy+)+' || p_partkey || '$',
+         '(?:' || lower(p_type) || '\s*|\s*)*' || p_partkey, '(?:[a-z]+ )*' || p_partkey]) AS pattern,
+       unnest(['backtracking', 'none', 'backtracking', 'none']) AS reason
+FROM part"""
+
+CATALOG_UNIONS = """
+SELECT app_name, '(?smd)' || string_agg('(?:' || pattern || ')', '|' ORDER BY pattern) AS regex,
+       CAST(0 AS BIGINT) AS alone
+FROM (SELECT DISTINCT p_brand AS app_name, '(' || p_name || ')[0-9]|' || lower(p_type) || '+#' AS pattern
+      FROM part)
+GROUP BY app_name"""
+
+APP_IDS_KEPT = """
+WITH steps AS (
+  SELECT 1 AS step, p_name AS app_name FROM part WHERE p_size <= 10
+  UNION ALL SELECT 2, p_brand FROM part
+  UNION ALL SELECT 3, p_name FROM part),
+ids AS (
+  SELECT app_name, row_number() OVER (ORDER BY min(step), app_name) AS app_id FROM steps GROUP BY app_name)
+SELECT p_partkey, p_name AS app_name, app_id FROM part JOIN ids ON p_name = app_name"""
+
 APP_DIM = """
 SELECT row_number() OVER (ORDER BY app_name) AS app_id, app_name
 FROM (SELECT DISTINCT p_name AS app_name FROM part)"""
@@ -456,6 +479,28 @@ facts AS (
   FROM found)"""
 )
 
+STREAM_SCAN_COUNTERS = f"""
+WITH {SELECTED},{_CATALOG},
+fetched AS (SELECT c.page_id, c.variant, c.url, {_host("c.url")} AS host, p.html
+            FROM selected c JOIN pages p ON c.page_id = p.page_id WHERE {_p7("c.url")}),
+heads AS (
+  SELECT page_id, variant, unnest(['Set-Cookie', 'X-Powered-CMS', 'Server']) AS header_name,
+         unnest([host,
+                 CASE WHEN starts_with(url, 'https:') THEN 'bitrix site manager 9' ELSE 'none' END,
+                 CASE WHEN starts_with(host, 'blog.') THEN 'nginx/1.' ELSE 'Apache/2.' END
+                   || page_id]) AS header_value
+  FROM fetched),
+found AS (
+  SELECT page_id, variant, app_name, evidence
+  FROM fetched JOIN signatures
+    ON evidence IN ('html', 'scripts') AND regexp_matches(html, '(?sm)(?:' || pattern || ')')
+  UNION
+  SELECT page_id, variant, app_name, evidence
+  FROM heads JOIN signatures USING (header_name)
+  WHERE evidence = 'headers' AND regexp_matches(header_value, '(?si)^(?:' || pattern || ')'))
+SELECT (SELECT count(*) FROM fetched) AS fetched, CAST(0 AS BIGINT) AS failed,
+       (SELECT count(*) FROM found) AS facts"""
+
 # --- streams ---------------------------------------------------------------------------------
 
 # A window is out once the watermark, a minute behind the newest event, has reached its end.
@@ -506,3 +551,20 @@ pairs AS (
 SELECT hold_start, fqdn_no_www, seen_time_epoch, page_url, name_type_list
 FROM firsts JOIN pairs USING (hold_start, fqdn_no_www)
 WHERE rn = 1"""
+
+
+# A signature ends two days after its last match before a pause of that length.
+STREAM_SESSIONS = """
+WITH facts AS (
+  SELECT epoch_us(ts) AS us, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS seen_time_epoch,
+         'user-' || user_id AS fqdn_no_www, 'event-' || event_id AS page_url,
+         event_type AS app_name
+  FROM events),
+marked AS (
+  SELECT *, CASE WHEN us - lag(us) OVER w <= 172800000000 THEN 0 ELSE 1 END AS starts
+  FROM facts WINDOW w AS (PARTITION BY fqdn_no_www, app_name ORDER BY us)),
+numbered AS (
+  SELECT *, sum(starts) OVER (PARTITION BY fqdn_no_www, app_name ORDER BY us) AS session FROM marked)
+SELECT max(us) + 172800000000 AS known_until, fqdn_no_www, app_name, min(seen_time_epoch) AS seen_time_epoch,
+       arg_min(page_url, (seen_time_epoch, page_url)) AS page_url, count(*) AS matches
+FROM numbered GROUP BY fqdn_no_www, app_name, session"""

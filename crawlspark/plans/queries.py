@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -306,6 +307,36 @@ def catalog_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("app_name", "evidence", "pattern")
 
 
+@query(oracle.CATALOG_AMBIGUOUS)
+def catalog_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """of four patterns of every part, those that may backtrack without end are rejected, the others kept."""
+    key = F.col("p_partkey").cast("string")
+    shapes = F.array(
+        F.concat(F.lit("(x+)+"), key, F.lit("$")),
+        F.concat(F.lit("(xy+)+"), key, F.lit("$")),
+        F.concat(F.lit("(?:"), F.lower("p_type"), F.lit("\\s*|\\s*)*"), key),
+        F.concat(F.lit("(?:[a-z]+ )*"), key),
+    )
+    apps = table(spark, sf_dir, "part").select(
+        F.concat_ws("#", "p_name", "p_partkey").alias("app_name"), F.explode(shapes).alias("pattern")
+    )
+    rows = apps.withColumns({"evidence": F.lit("html"), "header_name": F.lit(None).cast("string")})
+    rejected = catalog.rejected_patterns(rows).select("app_name", "pattern", "reason")
+    return rejected.unionByName(catalog.valid_patterns(rows).select("app_name", "pattern", F.lit("none").alias("reason")))
+
+
+@query(oracle.CATALOG_UNIONS)
+def catalog_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the patterns of each brand's parts as one expression, and the hits of it."""
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("app_name"),
+        F.lit("html").alias("evidence"),
+        F.lit(None).cast("string").alias("header_name"),
+        F.concat(F.lit("("), F.col("p_name"), F.lit(")[0-9]|"), F.lower("p_type"), F.lit("+#")).alias("pattern"),
+    )
+    return catalog.union_patterns(rows).select("app_name", "regex", F.size("alone").cast("long").alias("alone"))
+
+
 @query(oracle.CATALOG_GROUPS)
 def catalog_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F9, F10, F11."""
@@ -335,6 +366,16 @@ def app_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.with_app_name(ids, dim)
 
 
+@query(oracle.APP_IDS_KEPT)
+def app_ids_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a first catalog stay when a second one is added, and names that neither has get the next."""
+    base = work_dir(spark, "app-ids")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.col("p_name").alias("app_name"))
+    lookup.grow_dim(spark, base, parts.where("p_size <= 10"))
+    lookup.grow_dim(spark, base, parts.select(F.col("p_brand").alias("app_name")))
+    return lookup.with_kept_app_id(parts, base).select("p_partkey", "app_name", "app_id")
+
+
 def _part_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("app_name"))
 
@@ -692,6 +733,28 @@ def stream_technology_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.withColumn("name_type_list", _joined("name_type_list"))
 
 
+@query(oracle.STREAM_SCAN_COUNTERS)
+def stream_scan_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 on the stream of B2: its counters, over all triggers of two runs with a restart between them."""
+    index, uri = derived.archived_candidates(spark, sf_dir)
+    root, out = work_dir(spark, "selected"), work_dir(spark, "facts")
+    for some in (F.startswith("url", F.lit("https:")), ~F.startswith("url", F.lit("https:"))):
+        crawl_index.materialize(index.where(some).select(*select_urls.URL_COLUMNS), f"{root}/{uuid.uuid4().hex}")
+        running = jobs.technology_stream(
+            url_stream.stream_selected(spark, root),
+            uri,
+            derived.sample_catalog(spark),
+            out,
+            f"{out}-checkpoint",
+            cap=0,
+            process_epoch=PROCESS_EPOCH,
+        )
+        running.awaitTermination()
+    return jobs.stream_counters(spark, out).agg(
+        F.sum("fetched").alias("fetched"), F.sum("failed").alias("failed"), F.sum("facts").alias("facts")
+    )
+
+
 @query(oracle.HOST_APP_TYPES)
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Within one crawl, whose facts share an event time, complete."""
@@ -750,3 +813,19 @@ def stream_host_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     emitted = _run(host_hold.stream_host_hold(events, hold="1 day", max_hosts=64 * max(1, users)).select(*rolled))
     still_open = host_hold.open_host_holds(_event_facts(table(spark, sf_dir, "events")), hold="1 day")
     return emitted.unionByName(still_open.select(*rolled))
+
+
+@query(oracle.STREAM_SESSIONS)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as facts of their users; a repeat within two days keeps a signature known."""
+    rows = (
+        F.unix_micros("session.end").alias("known_until"),
+        *rollup.SIGNATURE[:2],
+        "seen_time_epoch",
+        "page_url",
+        "matches",
+    )
+    events = _event_facts(_stream(spark, sf_dir, "events"))
+    emitted = _run(fact_stream.stream_signature_sessions(events, gap="2 days").select(*rows))
+    known = fact_stream.open_signature_sessions(_event_facts(table(spark, sf_dir, "events")), gap="2 days")
+    return emitted.unionByName(known.select(*rows))

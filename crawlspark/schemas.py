@@ -78,3 +78,6 @@ DONE_FILES = _struct(path=_S)
 
 # Pages of each domain that earlier runs let through, up to the cap
 DOMAIN_COUNTS = _struct(fqdn_no_www=_S, pages=_L)
+
+# Records that a trigger of the technology stream has fetched or failed to fetch, and facts found
+STREAM_COUNTERS = _struct(trigger=_L, fetched=_L, failed=_L, facts=_L)

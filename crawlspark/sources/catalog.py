@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlspark.functions import patterns
+from crawlspark.functions.ambiguity import exponential
 from crawlspark.operators.lookup import dense_ids
 from crawlspark.schemas import CATALOG_FILE, SIGNATURES
 
@@ -56,14 +57,39 @@ def _entry(evidence: str, header_name: Column, pattern: Column) -> Column:
     )
 
 
+def _judged(catalog: DataFrame) -> DataFrame:
+    pattern = F.col("pattern")
+    endless = exponential(pattern, F.col("evidence") == "headers")
+    reason = F.when(~patterns.is_valid(pattern), "syntax").when(endless, "backtracking")
+    return catalog.withColumn("reason", reason)
+
+
 def valid_patterns(catalog: DataFrame) -> DataFrame:
-    """the patterns that compile, each judged on its own (Q7)."""
-    return catalog.where(patterns.is_valid(F.col("pattern")))
+    """the patterns that compile and cannot take exponential time, each judged on its own (Q7)."""
+    return _judged(catalog).where(F.col("pattern").isNotNull() & F.col("reason").isNull()).drop("reason")
 
 
 def rejected_patterns(catalog: DataFrame) -> DataFrame:
-    """the other ones."""
-    return catalog.where(F.col("pattern").isNotNull() & ~patterns.is_valid(F.col("pattern")))
+    """the other ones with the ``reason``: ``syntax`` or ``backtracking``."""
+    return _judged(catalog).where(F.col("pattern").isNotNull() & F.col("reason").isNotNull())
+
+
+def union_patterns(catalog: DataFrame) -> DataFrame:
+    """one expression per app, kind of evidence and header name that matches where any of its patterns does.
+
+    ``regex`` holds the patterns that can stand beside each other, null if there are none, and ``alone`` the
+    others. An app's patterns come together in one row, sorted.
+    """
+    beside = patterns.can_join(F.col("pattern"))
+    held = F.array_sort(F.collect_set(F.when(beside, F.col("pattern"))))
+    union = patterns.union(held)
+    return catalog.groupBy("app_name", "evidence", "header_name").agg(
+        F.when(
+            F.size(held) > 0,
+            F.when(F.col("evidence") == "headers", patterns.header_regex(union)).otherwise(patterns.body_regex(union)),
+        ).alias("regex"),
+        F.array_sort(F.collect_set(F.when(~beside, F.col("pattern")))).alias("alone"),
+    )
 
 
 def app_dim(catalog: DataFrame) -> DataFrame:

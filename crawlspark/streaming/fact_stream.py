@@ -27,6 +27,38 @@ def stream_distinct_signatures(
     return timed.dropDuplicatesWithinWatermark(list(SIGNATURE))
 
 
+def _signature_sessions(facts: DataFrame, gap: str, time: str) -> DataFrame:
+    order = F.struct(*CARRIER)
+    sessions = facts.groupBy(*SIGNATURE, F.session_window(time, gap).alias("session"))
+    found = sessions.agg(F.min(order).alias("first"), F.max(time).alias("last_seen"), F.count("*").alias("matches"))
+    return found.select("session", *SIGNATURE, "first.*", "last_seen", "matches")
+
+
+def stream_signature_sessions(
+    facts: DataFrame, gap: str = "60 seconds", delay: str = "60 seconds", time: str = "seen_ts"
+) -> DataFrame:
+    """T2 where each repeat keeps a signature known: its first match and the number of ``matches``.
+
+    A signature is known until none of it came for ``gap`` of event time, however long that takes (Q16).
+    Its row is emitted when the watermark passes that end, so a signature that keeps coming gives one row.
+    State is one row per known signature, and tasks combine their rows before the shuffle. What is
+    known when finished input ends is in ``open_signature_sessions``.
+    """
+    return _signature_sessions(facts.withWatermark(time, delay), gap, time)
+
+
+def open_signature_sessions(
+    facts: DataFrame, gap: str = "60 seconds", delay: str = "60 seconds", time: str = "seen_ts"
+) -> DataFrame:
+    """The rows that ``stream_signature_sessions`` holds back when its input has ended; ``facts`` are the
+    same in batch."""
+    last = facts.agg((F.max(time) - F.expr(f"interval {delay}")).alias("mark")).first()["mark"]
+    mark = F.date_trunc("millisecond", F.lit(last))
+    # a filter on the session's end would be moved below the aggregation, to the rows that make it up
+    end = F.col("last_seen") + F.expr(f"interval {gap}")
+    return _signature_sessions(facts, gap, time).where(end > mark)
+
+
 def stream_host_rollup(
     facts: DataFrame, hold: str = "60 seconds", delay: str = "60 seconds", time: str = "seen_ts"
 ) -> DataFrame:

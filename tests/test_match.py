@@ -232,3 +232,21 @@ def test_queries_with_derived_catalogs_as_tables(spark, monkeypatch):
     whole = [sorted(map(str, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names]
     monkeypatch.setattr(match, "INDEX_ABOVE", 0)
     assert [sorted(map(str, queries.QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in names] == whole
+
+
+@pytest.mark.parametrize("limits", [(0, 0), (0, 2_000), (64, 2_000)])
+def test_header_unions(spark, monkeypatch, limits):
+    """All ways to check headers give the same, also patterns that no union can hold."""
+    monkeypatch.setattr(match, "LITERAL_MAX", limits[0])
+    monkeypatch.setattr(match, "UNION_MAX", limits[1])
+    rules = [("Num", "headers", "Age", r"\d{2}"), ("Twice", "headers", "Via", r"(\w)\1"), ("Via", "headers", "Via", "x|y"),
+             ("Flag", "headers", "Tag", r"(?-i)Ab"), ("Tag", "headers", "Tag", "ab$"), ("No", "headers", None, "a")]
+    catalog = catalog_rows(spark, rules[:-1])
+    values = [{"Age": "123", "Via": "aab"}, {"Age": "1", "Via": "yes"}, {"Tag": "AB"}, {"Tag": "Abc"}, {"tag": "ab"}, {}]
+    pages = spark.createDataFrame(list(enumerate(values)), "page_id int, headers map<string,string>").withColumn("html", F.lit(""))
+    expected = {(0, "Num"), (0, "Twice"), (1, "Via"), (2, "Tag"), (3, "Flag")}
+    in_row = match.match_pages(pages, catalog, headers="headers")
+    assert {(r.page_id, r.app_name) for r in in_row.collect()} == expected
+    long = pages.select("page_id", F.explode("headers").alias("header_name", "header_value"))
+    got = match.match_headers(long, catalog_rows(spark, rules)).collect()
+    assert {(r.page_id, r.app_name) for r in got} == expected

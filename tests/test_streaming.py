@@ -97,6 +97,22 @@ def test_repeats_are_dropped(spark, tmp_path, fact_files, salts):
     assert sorted((r.fqdn_no_www, r.app_name) for r in rows.collect()) == [("a", "X"), ("a", "Y"), ("b", "X")]
 
 
+def test_a_repeat_keeps_a_signature_known(spark, tmp_path, fact_files):
+    """One every 30 seconds under a gap of 60 is one row, through many triggers; after a pause it is new."""
+    write_facts, stream = fact_files
+    for part in range(6):
+        write_facts(part, [(s, "a", f"p{s:04d}", "X") for s in range(1000 + part * 60, 1060 + part * 60, 30)])
+    write_facts(6, [(1500, "a", "p", "X"), (1500, "b", "q", "X")])
+    write_facts(7, [(s, "c", "p", "Y") for s in (4850, 4905, 4955, 5000)])
+    rows = run(fact_stream.stream_signature_sessions(stream()), tmp_path / "out").collect()
+    assert sorted((r.fqdn_no_www, r.page_url, r.matches) for r in rows) == [("a", "p", 1), ("a", "p1000", 12), ("b", "q", 1)]
+    facts = spark.read.schema(MATCH_FACT).option("recursiveFileLookup", True).json(str(tmp_path / "facts"))
+    facts = facts.withColumn("seen_ts", F.timestamp_seconds("seen_time_epoch"))
+    known = fact_stream.open_signature_sessions(facts).collect()
+    assert [(r.fqdn_no_www, r.matches) for r in known] == [("c", 4)]
+    assert fact_stream.open_signature_sessions(facts.limit(0)).collect() == []
+
+
 def test_hosts_are_held(spark, tmp_path, fact_files):
     write_facts, stream = fact_files
     write_facts(0, [(0, "a", "p2", "X"), (1, "a", "p1", "Y"), (2, "a", "p3", "X"), (61, "a", "p", "Z")])

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.common import bound_batches, crc_of
+from crawlspark.llm.common import bound_batches, crc_of, saved
 
 ORDER = 2  # the longest context, in symbols
-MAX_LANGUAGES = 64  # the most frequent ones are learned; bounds the model
+BLOCK_BYTES = 64 * 1024 * 1024  # languages whose tables fill this are scored together
 UNKNOWN = "und"
 TEXTS_AT_ONCE = 4_000_000  # bytes
 
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def _symbols() -> np.ndarray:
@@ -88,13 +87,17 @@ class Model:
     depends on context and symbol alone and is read from a table.
     """
 
-    def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(
+        self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]], used: np.ndarray | None = None
+    ) -> None:
+        """``used``: the symbols that some text had, where ``counts`` are not all there are."""
         self.langs = langs
-        used = np.zeros(N, bool)
-        for codes, _ in counts:
-            for _ in range(ORDER + 1):
-                used[codes % N] = True
-                codes = codes // N
+        if used is None:
+            used = np.zeros(N, bool)
+            for codes, _ in counts:
+                for _ in range(ORDER + 1):
+                    used[codes % N] = True
+                    codes = codes // N
         used[0] = True
         self.size = int(used.sum()) + 1  # and one for all symbols never seen
         self.symbols = np.where(used, np.cumsum(used) - 1, self.size - 1)[SYMBOLS]
@@ -143,57 +146,106 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> Model:
-    """The model of all rows of ``docs(lang, text)`` with a language and a text.
+def models(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Model]:
+    """The models of all languages of ``docs(lang, text)``, blocks of languages in order of their names.
 
-    What reaches the driver is bounded: a count for each context and symbol of ``max_languages``.
+    Rows without a language or a text teach nothing. A block's tables have at most ``block_bytes``, or are
+    those of one language; the driver holds one block at a time, and the names. All blocks count the same
+    symbols, so that their code lengths compare. Without any language there is one empty model.
     """
     known = docs.filter("lang is not null and text is not null")
-    ranked = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    langs = sorted(r["lang"] for r in ranked)
-    rows = context_counts(known.filter(F.col("lang").isin(langs))).toArrow().to_pandas() if langs else None
-    counts = []
-    for lang in langs:
-        own = rows[rows["lang"] == lang]
-        counts.append((own["code"].to_numpy(), own["n"].to_numpy()))
-    return Model(langs, counts)
-
-
-def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    langs = [UNKNOWN] * len(texts)
-    scores = np.zeros(len(texts))
-    found = [i for i, t in enumerate(texts) if t and model.langs and LETTER.search(t)]
+    counts = saved(context_counts(known), "context-counts")
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    places = F.array(*(F.expr(f"code div {N**k} % {N}") for k in range(ORDER + 1)))
+    used = np.zeros(N, bool)
+    # at most N rows
+    used[[r[0] for r in counts.select(F.explode(places)).distinct().collect()]] = True
+    used[0] = True
+    together = max(1, block_bytes // (4 * (int(used.sum()) + 1) ** (ORDER + 1)))
+    for i in range(0, max(1, len(langs)), together):
+        block = langs[i : i + together]
+        rows = counts.filter(F.col("lang").isin(block)).toArrow().to_pandas() if block else None
+        own = [rows[rows["lang"] == lang] for lang in block]
+        yield Model(block, [(x["code"].to_numpy(), x["n"].to_numpy()) for x in own], used.copy())
+
+
+def train(docs: DataFrame) -> Model:
+    """One model of all languages, whatever its size."""
+    (model,) = models(docs, 1 << 62)
+    return model
+
+
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
+
+
+def shortest(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits of the shortest code of each text, its language, and the odds of all languages over this one.
+
+    Infinite, ``und`` and 0 where there is no letter or no language.
+    """
+    least = np.full(len(texts), np.inf)
+    langs = np.full(len(texts), UNKNOWN, object)
+    odds = np.zeros(len(texts))
+    found = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
     for a, b in _groups([texts[i] for i in found]):
         own = found[a:b]
         bits = model.lengths([texts[i] for i in own])
-        best = bits.argmin(axis=1)
-        odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-        for i, lang in zip(own, best, strict=True):
-            langs[i] = model.langs[lang]
-        scores[own] = 1 / odds
-    return langs, scores
+        least[own] = bits.min(axis=1)
+        langs[own] = [model.langs[x] for x in bits.argmin(axis=1)]
+        odds[own] = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
+    return least, langs, odds
 
 
-def identify(docs: DataFrame, folds: int = 5, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+def _merged(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same over the languages of both; of equal codes the first stays."""
+    least = np.minimum(a[0], b[0])
+    known = np.isfinite(least)
+    odds = np.zeros(len(least))
+    for bits, _, own in (a, b):
+        odds[known] += own[known] * np.exp2(np.maximum(least[known] - bits[known], -1000))
+    return least, np.where(b[0] < a[0], b[1], a[1]), odds
+
+
+def identify(docs: DataFrame, folds: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs(doc_id, text, lang)``.
 
     Learns from rows with a text and a language whose crc32(doc_id as text) mod ``folds`` is not 0; the
     others are held out. The language with the shortest code of the whole text wins, the first by name
     if several do; the score is its share of the odds. ``und`` with score 0 for null, texts without a
-    letter, or if nothing was learned. Repeated rows are learned from and predicted as often as they
-    occur; a null doc_id counts as an empty one; an empty table gives no rows.
+    letter (Unicode category L), or if nothing was learned. All languages are learned: where their tables
+    pass ``block_bytes``, blocks of them score the texts one after another, and what is shortest so far is
+    written with the texts. Repeated rows are learned from and predicted as often as they occur; a null
+    doc_id counts as an empty one; an empty table gives no rows.
     """
+    spark = docs.sparkSession
     held_out = F.pmod(crc_of(F.col("doc_id")), F.lit(folds)) == 0
-    model = docs.sparkSession.sparkContext.broadcast(train(docs.filter(~held_out).select("lang", "text"), max_languages))
-    bound_batches(docs.sparkSession)
+    blocks = models(docs.filter(~held_out).select("lang", "text"), block_bytes)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    schema = "doc_id long, held_out boolean, text string, least double, lang_pred string, odds double"
+    model = next(blocks)
+    for further in blocks:
+        rows = saved(_scored(rows, spark.sparkContext.broadcast(model), schema), "shortest-codes")
+        model = further
+    done = _scored(rows, spark.sparkContext.broadcast(model), schema)
+    score = F.when(F.col("odds") > 0, 1 / F.col("odds")).otherwise(F.lit(0.0))
+    return done.select("doc_id", "held_out", "lang_pred", score.alias("score"))
+
+
+def _scored(rows: DataFrame, model: Broadcast, schema: str) -> DataFrame:
+    """``rows`` with the shortest code of this model's languages, and of those before it."""
+    bound_batches(rows.sparkSession)
+    earlier = "least" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = predict(model.value, batch["text"].to_pylist())
+            found = shortest(model.value, batch["text"].to_pylist())
+            if earlier:
+                before = (batch["least"].to_numpy(), np.array(batch["lang_pred"].to_pylist(), object), batch["odds"].to_numpy())
+                found = _merged(before, found)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["held_out"], pa.array(langs, pa.string()), pa.array(scores)],
-                ["doc_id", "held_out", "lang_pred", "score"],
+                [batch["doc_id"], batch["held_out"], batch["text"], pa.array(found[0]), pa.array(found[1], pa.string()), pa.array(found[2])],
+                ["doc_id", "held_out", "text", "least", "lang_pred", "odds"],
             )
 
-    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, schema)

@@ -48,7 +48,8 @@ class ByteTokenizer:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.full = Tokenizer.from_file(json)
-        self.full.encode_special_tokens = True  # their strings are ordinary text
+        special = [re.escape(t.content) for t in self.full.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)")
         outer = self
 
         class Store(dict):
@@ -68,7 +69,12 @@ class ByteTokenizer:
         return np.array(ids, "<u2").tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 16-bit numbers."""
+        """Ids of a whole text as little-endian 16-bit numbers.
+
+        A text that holds the string of a special token goes to the library whole: it cuts the text there.
+        """
+        if self.special.search(text):
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
         first, *rest = SPACE.split(text) if RUN.search(text) else text.split(" ")
         return self.part(first) + b"".join(map(self.store.__getitem__, rest))
 

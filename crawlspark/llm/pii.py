@@ -294,7 +294,8 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
     """``kind, value, attempt`` of every entity: the attempt at which its surrogate is its own.
 
     All entities try at once. A surrogate that is also a real value of the type, or that was given to
-    another entity, is no one's: of several that try the same at once the first by value has it. The
+    another entity, is no one's: of several that try the same at once the first by value has it. All
+    names of a script are one type here, whatever their gender and place. The
     others try again, with longer surrogates where a format is full, until none is left. Every step is a
     join or an aggregate over written tables.
     """
@@ -311,17 +312,18 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
         cut = (F.col(kind) == "phone") & (F.length(value) > 9)
         return F.when(cut, F.substring(F.col(value), -9, 9)).otherwise(F.col(value))
 
+    is_name = F.col("kind").rlike("^(first|last)_")
+    pool = F.when(is_name, F.concat(F.lit("name_"), F.substring_index("kind", "_", -1))).otherwise(F.col("kind"))
     pending = found.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
-    real = saved(found.select("kind", comparable_value().alias("other")).distinct(), "real-values")
+    real = saved(found.select(pool.alias("pool"), comparable_value().alias("other")).distinct(), "real-values")
     done = []
     for round_ in count():
-        tries = saved(pending.mapInArrow(tried, schema), "tries")
-        free = tries.join(real, ["kind", "other"], "left_anti")
+        tries = saved(pending.mapInArrow(tried, schema).withColumn("pool", pool), "tries")
+        free = tries.join(real, ["pool", "other"], "left_anti")
         for earlier in done:
-            free = free.join(earlier, ["kind", "other"], "left_anti")
-        won = saved(
-            free.groupBy("kind", "other").agg(F.min("value").alias("value")).withColumn("attempt", F.lit(round_)), "won"
-        )
+            free = free.join(earlier, ["pool", "other"], "left_anti")
+        first = free.groupBy("pool", "other").agg(F.min(F.struct("value", "kind")).alias("first"))
+        won = saved(first.select("pool", "other", "first.*", F.lit(round_).alias("attempt")), "won")
         done.append(won)
         pending = saved(
             tries.join(won, ["kind", "value"], "left_anti").select("kind", "value", F.lit(round_ + 1).alias("attempt")),

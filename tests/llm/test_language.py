@@ -80,6 +80,22 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in found) >= 0.97 * len(found) > 100
 
 
+def test_seventy_languages(frame):
+    """All languages are learned, and blocks of them give the rows of one model."""
+    own = {f"l{i:02d}": f"{chr(97 + i // 26)}{chr(97 + i % 26)}x{chr(97 + i * 7 % 26)} " * 5 for i in range(70)}
+    data = [(100 * n + i, text, lang) for n in range(6) for i, (lang, text) in enumerate(own.items())]
+    data += [(9001, None, "l01"), (9002, "5 ² ½ ① 12", "l02"), (9003, "ª", None), (9004, "", None)]
+    docs = frame([(*d, "x", "y") for d in data], SCHEMA)
+    whole = {r["doc_id"]: r for r in language.identify(docs, block_bytes=1 << 40).collect()}
+    assert all(whole[i]["lang_pred"] == lang for i, _, lang in data[:-4])
+    assert [whole[i]["lang_pred"] for i in (9001, 9002, 9004)] == ["und"] * 3 and whole[9003]["lang_pred"] != "und"
+    parts = {r["doc_id"]: r for r in language.identify(docs, block_bytes=30 * 4 * 30**3).collect()}
+    assert len(parts) == len(whole) == len(data)
+    for i, r in whole.items():
+        assert (parts[i]["lang_pred"], parts[i]["held_out"]) == (r["lang_pred"], r["held_out"])
+        assert parts[i]["score"] == pytest.approx(r["score"], rel=1e-6)
+
+
 def test_nothing_learned(frame):
     assert [r["lang_pred"] for r in language.identify(frame([(1, "some text", None, "", "")], SCHEMA)).collect()] == ["und"]
     assert language.identify(frame([], SCHEMA)).count() == 0

@@ -17,7 +17,6 @@ SCHEMA = "doc_id long, text string, source string, start string, queue int"
 @pytest.fixture(scope="module")
 def full():
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 
@@ -31,6 +30,12 @@ def test_ids_are_those_of_the_whole_text(full, text):
     assert ids_of(text) == full(text)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|> foo", "a  <|endoftext|>", "x <|endoftext|><|endoftext|>\n y", "<|endoftext", "é漢 <|endoftext|>"])
+def test_special_tokens_are_read_as_the_library_reads_them(full, text):
+    assert ids_of(text) == full(text)
+    assert (50256 in ids_of(text)) == ("<|endoftext|>" in text)
+
+
 def test_ids_of_the_table(full, spark):
     for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect():
         assert ids_of(row["text"]) == full(row["text"])

@@ -90,6 +90,15 @@ def test_collisions_are_resolved(frame, monkeypatch):
     assert len(set(others)) == len(others) and "7" not in others and max(r["attempt"] for r in rows) > 0
 
 
+def test_names_of_all_kinds_are_distinct(frame):
+    kinds_ = ["first_n_latin", "last_n_latin", "first_m_latin", "first_f_latin", "last_n_greek"]
+    found = [(i, k, f"{k}{i}") for k in kinds_ for i in range(1500)] + [(1, "first_n_latin", "ana"), (1, "last_n_latin", "ana")]
+    done = pii.assigned(frame(found, "doc_id long, kind string, value string"), KEY).collect()
+    assert {(r["kind"], r["value"]) for r in done} == {f[1:] for f in found} and len(done) == len(found)
+    others = [pii.surrogate(KEY, r["kind"], r["value"], r["attempt"]) for r in done]
+    assert len(set(others)) == len(others) and max(r["attempt"] for r in done) > 0
+
+
 def test_later_attempts_reach_the_texts(frame, monkeypatch):
     monkeypatch.setattr(
         pii, "assigned", lambda found, key: found.select("kind", "value").distinct().selectExpr("*", "if(value = 'bo@x.org', 2, 0) as attempt")

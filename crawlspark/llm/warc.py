@@ -46,10 +46,10 @@ def _http_head(length: int) -> bytes:
 
 
 def _target(url: str | None) -> str:
-    """Header line of the URL; line ends, which would end the header, are percent-encoded."""
+    """Header line of the URL as it is, but for line ends, which would end the header: they are percent-encoded."""
     if url is None:
         return ""
-    return f"WARC-Target-URI: {url.replace('%', '%25').replace('\r', '%0D').replace('\n', '%0A')}\r\n"
+    return f"WARC-Target-URI: {url.replace('\r', '%0D').replace('\n', '%0A')}\r\n"
 
 
 def member(head: str, block: bytes) -> bytes:
@@ -123,10 +123,9 @@ class _Frame:
         else:
             ok = ok and digest == base32_sha1(self.payload.digest())
             ok = ok and (self.http or {}).get("content-length") == str(length)
-        url = self.headers.get("warc-target-uri")
         return {
             "page_id": _page_id(self.headers.get("warc-record-id")),
-            "url": url and url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%"),
+            "url": self.headers.get("warc-target-uri"),
             "payload_bytes": length,
             "payload_digest": digest,
             "record_type": kind,
@@ -223,8 +222,9 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     responses and the others revisit them. Equal payloads are found by SHA-1 and length, on rows
     without the payload; only payload groups of two or more are joined to the pages. A payload travels
     compressed. A null html is an empty payload; a null page_id is smaller than any other and refers
-    like one; rows repeated with the largest page_id are all responses; a null url has no header.
-    Tables without rows give an empty manifest. Other columns are not read.
+    like one; rows repeated with the largest page_id are all responses; a null url has no header,
+    line ends in a url stay percent-encoded and the rest of it is as given. Tables without rows give an
+    empty manifest. Other columns are not read.
     """
     spark = pages.sparkSession
     bound_batches(spark, 500)

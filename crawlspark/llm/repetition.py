@@ -16,10 +16,11 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 MIN_WORDS = 50
 WINDOW = 3
-MIN_REPEAT = 20  # words: shorter repeats do not count as covered
+MIN_REPEAT = 10  # words: shorter repeats do not count as covered
 MAX_COVERED = 0.3  # of a text's words, all places of a repeat counted
 MAX_REPEAT = 50  # words
 WORDS_AT_ONCE = 400_000
+MAX_RANKED = 1_000_000  # words above which one long text is measured in a pass that keeps no ranks of doublings
 
 RESULT = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -34,14 +35,16 @@ def repeat_lengths(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     ``words`` are word numbers of texts one after another, ``counts`` the words of each text. The
     suffixes of every text are sorted by prefix doubling, all texts at once; suffixes that are already
     alone take no more part. The longest common prefix of neighbours in the suffix array then comes
-    from the ranks of the doublings, and the larger of a suffix's two is the answer.
+    from the ranks of the doublings, or, where these would take much memory, from a pass over the text
+    that keeps none of them; the larger of a suffix's two is the answer.
     """
     n = len(words)
+    keep = n <= MAX_RANKED
     text = np.repeat(np.arange(len(counts)), counts)
     end = np.repeat(np.cumsum(counts), counts)
     # rank by text, then word: suffixes of different texts never share a prefix
     rank = _dense(text.astype(np.int64) * (int(words.max(initial=0)) + 1) + words)
-    ranks, step = [rank], 1
+    ranks, step = [rank] if keep else [], 1
     active = _shared(rank, np.arange(n))
     while len(active):
         further = active + step
@@ -55,12 +58,23 @@ def repeat_lengths(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
         at = np.arange(len(order))
         group = np.maximum.accumulate(np.where(first, at, 0))
         part = np.maximum.accumulate(np.where(new, at, 0))
-        rank = rank.copy()
+        rank = rank.copy() if keep else rank
         rank[active[order]] = a + part - group
-        ranks.append(rank)
+        if keep:
+            ranks.append(rank)
         step *= 2
         active = _shared(rank, active)
     array = np.argsort(rank)
+    common = _common_by_ranks(array, text, end, ranks) if keep else _common_in_order(words, array, rank, end)
+    longest = np.zeros(n, np.int64)
+    longest[array[:-1]] = common
+    longest[array[1:]] = np.maximum(longest[array[1:]], common)
+    return longest
+
+
+def _common_by_ranks(array: np.ndarray, text: np.ndarray, end: np.ndarray, ranks: list[np.ndarray]) -> np.ndarray:
+    """Words that neighbours in the suffix array share, from the ranks of all doublings."""
+    n = len(array)
     one, two = array[:-1].copy(), array[1:].copy()
     common = np.zeros(max(0, n - 1), np.int64)
     same = np.flatnonzero(text[one] == text[two])
@@ -73,10 +87,27 @@ def repeat_lengths(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
         # equal ranks of a level mean 2**level equal words, inside the text
         length += np.where(equal, 1 << level, 0)
     common[same] = length
-    longest = np.zeros(n, np.int64)
-    longest[array[:-1]] = common
-    longest[array[1:]] = np.maximum(longest[array[1:]], common)
-    return longest
+    return common
+
+
+def _common_in_order(words: np.ndarray, array: np.ndarray, rank: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The same from one pass in text order: a suffix shares all but one word of what the one before shares."""
+    n = len(words)
+    common = np.zeros(max(0, n - 1), np.int64)
+    w, a, r, e, out = map(memoryview, (words, array, rank, end, common))
+    h = 0
+    for i in range(n - 1):
+        p = r[i]
+        j = a[p + 1] if p < n - 1 else -1
+        if j < 0 or e[i] != e[j]:
+            h = 0
+            continue
+        stop = e[i] - max(i, j)
+        while h < stop and w[i + h] == w[j + h]:
+            h += 1
+        out[p] = h
+        h -= h > 0
+    return common
 
 
 def _dense(values: np.ndarray) -> np.ndarray:
@@ -153,10 +184,11 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
     """Figures and verdict for every row of ``docs(doc_id, text)``.
 
     A text fails the base rule with under 50 words, or with over half of its words in 3-word windows
-    that it has twice. It fails the method's if the union of all substrings of 20 words or more that it
+    that it has twice. It fails the method's if the union of all substrings of 10 words or more that it
     has twice covers over 30 % of its words, or if the longest has over 50 words. Null counts as empty:
     no words, so it fails the base rule. Every text is judged alone and whole, so repeated rows agree
-    and an empty table gives no rows; other columns are not read.
+    and an empty table gives no rows; other columns are not read. Memory grows with the longest text, by
+    some hundred bytes a word, however often its words repeat.
     """
     bound_batches(docs.sparkSession)
 

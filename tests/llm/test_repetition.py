@@ -28,8 +28,8 @@ def brute(text):
     chars = sum(len(x.decode()) for x in w)
     symbols = sum(c in "#*$%&|<>" for c in text or "")
     base = n < 50 or 100 * cover(3) > 50 * n
-    kept = not base and cover(20) <= 0.3 * n and max(longest, default=0) <= 50
-    return (n, chars, symbols, len(lines) - len(set(lines)), cover(3), base, cover(20), max(longest, default=0), kept)
+    kept = not base and cover(10) <= 0.3 * n and max(longest, default=0) <= 50
+    return (n, chars, symbols, len(lines) - len(set(lines)), cover(3), base, cover(10), max(longest, default=0), kept)
 
 
 def texts():
@@ -65,5 +65,25 @@ def test_long_repeats():
     assert found["n_covered"].tolist() == [0, 40_000, 30_000]
 
 
+@pytest.mark.parametrize("at_once", [400_000, 10])
+def test_long_texts_are_measured_alike(monkeypatch, at_once):
+    monkeypatch.setattr(repetition, "WORDS_AT_ONCE", at_once)
+    data = [*texts(), " ".join(["a"] * 3_000), " ".join(["a", "b"] * 999 + ["b"])]
+    found = repetition.judge(data)
+    monkeypatch.setattr(repetition, "MAX_RANKED", 0)
+    assert repetition.judge(data).equals(found)
+
+
+def test_scattered_short_lines():
+    random.seed(8)
+    lines = [" ".join(f"r{i}x{j}" for j in range(12)) for i in range(3)]
+    own = [" ".join(f"w{i}x{j}" for j in range(18)) for i in range(6)]
+    text = "\n".join(x for i in range(6) for x in (lines[i % 3], own[i]))
+    found = repetition.judge([text, "\n".join(own + lines)])
+    assert found["n_covered"].tolist() == [72, 0]
+    assert found["base_failed"].tolist() == [False, False]
+    assert found["kept"].tolist() == [False, True]
+
+
 def test_empty(frame):
     assert repetition.repetition_rules(frame([], SCHEMA)).count() == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.common import bound_batches, saved
 
-KEY = b"change me: the key decides every surrogate"
 #: After so many attempts the format of an entity counts as full: further ones are longer than it.
 SAME_FORMAT = 8
 #: The most characters of a real value, for types whose longer surrogates pass them.
@@ -50,16 +50,21 @@ _SECRET = (
 )
 _ACCESS = r"(?P<access>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
 _IP = r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
+_IP6 = r"(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d))"
 _IBAN = r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
 _CARD = r"(?P<card>(?<![\w.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-]|\.\d))"
 _SSN = r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
 _PHONE = r"(?P<phone>(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])(?:\d{2,4}[ .-]){0,3}\d{3,4}(?![\w-]|\.\d)|(?<![\w.+-])\+\d{8,15}(?!\w))"
-ENTITY = re.compile("|".join([_SECRET, _ACCESS, _EMAIL, _IP, _CARD, _SSN, _IBAN, _PHONE]))
+ENTITY = re.compile("|".join([_SECRET, _ACCESS, _EMAIL, _IP, _IP6, _CARD, _SSN, _IBAN, _PHONE]))
 NAME = re.compile(
     r"\b(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[  ](?P<name>[^\W\d_a-z][\w'’-]+(?:[  ][^\W\d_a-z][\w'’-]+){0,2})"
 )
 
 
+#: Kinds of names: by their place in a text, with gender and script, and settled over all texts.
+NAMES = ("first_", "last_", "name_")
+
+
 class Mention(NamedTuple):
     start: int
     end: int
@@ -106,6 +111,14 @@ def _entity(match: re.Match) -> Mention | None:
         return Mention(start, end, kind, digits) if (8 if text[0] in "+(" else 9) <= len(digits) <= 15 else None
     if kind == "ssn":
         return Mention(start, end, kind, _digits(text))
+    if kind == "ip6":
+        # times and names in code are no addresses, nor are those of the own machine
+        if sum(map(bool, text.split(":"))) < 2 or not _digits(text):
+            return None
+        try:
+            return Mention(start, end, "ip", ipaddress.IPv6Address(text).compressed)
+        except ValueError:
+            return None
     if kind == "secret" and not any(map(str.isalnum, text)):
         # masked already
         return None
@@ -196,12 +209,18 @@ def _code(stream: _Stream, value: str) -> str:
     return "".join(map(stream.like, value))
 
 
+def _pool(kind: str) -> str:
+    """The type within which surrogates must differ: all names of a script are one."""
+    return "name_" + kind.rpartition("_")[2] if kind.startswith(NAMES) else kind
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """What stands for an entity: the same type, length class, alphabet, script and gender, by the key alone.
 
     Later attempts are longer and longer, so that every entity comes to one of its own.
     """
-    stream = _Stream(key, kind, value, str(attempt))
+    # one name has one surrogate, whatever its place; the gender is in the ending
+    stream = _Stream(key, _pool(kind), value, str(attempt))
     wider = 4 * (attempt // SAME_FORMAT)
     if wider and kind in LONGEST:
         value += "0" * (LONGEST[kind] + wider - len(value))
@@ -210,9 +229,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         # one domain has one surrogate; .example is nobody's
         site = _Stream(key, "domain", domain)
         return "".join(map(stream.like, local + "0" * wider)) + "@" + "".join(map(site.like, domain.rpartition(".")[0])) + ".example"
-    if kind == "ip" and wider:
-        # there are no more of version 4; this prefix is nobody's
-        return "2001:db8:" + ":".join(f"{stream.below(65536):x}" for _ in range(6))
+    if kind == "ip" and (wider or ":" in value):
+        # of version 6, or no more of version 4 are left; this prefix is nobody's
+        return ipaddress.IPv6Address("2001:db8:" + ":".join(f"{stream.below(65536):x}" for _ in range(6))).compressed
     if kind == "ip":
         return f"{1 + stream.below(223)}.{stream.below(256)}.{stream.below(256)}.{1 + stream.below(254)}"
     if kind == "card":
@@ -226,7 +245,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return f"{value[:2]}{check:02d}{body}"
     if kind == "access":
         return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[stream.below(32)] for _ in value[4:])
-    if kind.startswith(("first", "last")):
+    if kind.startswith(NAMES):
         _, gender, script = kind.split("_")
         syllables = 2 + stream.below(2) + attempt // SAME_FORMAT
         name = "".join(SYLLABLES[script][stream.below(len(SYLLABLES[script]))] for _ in range(syllables))
@@ -244,7 +263,7 @@ def rendered(mention: Mention, text: str, other: str) -> str:
         if mention.kind == "phone" and code:
             out = "+" + code[1] + out[len(code[1]) + 1 :]
         return out
-    if mention.kind.startswith(("first", "last")):
+    if mention.kind.startswith(NAMES):
         return other.upper() if own.isupper() and len(own) > 1 else other[:1].upper() + other[1:]
     if mention.kind == "email" and own.isupper():
         return other.upper()
@@ -258,14 +277,17 @@ def comparable(kind: str, value: str, other: str) -> str:
     return other[-9:] if kind == "phone" and len(value) > 9 else other
 
 
-def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, dict[str, int]]:
-    """The text with surrogates, and how many of each type."""
+def replace(text: str, key: bytes, settled: dict[tuple[str, str], tuple[str, int]]) -> tuple[str, dict[str, int]]:
+    """The text with surrogates, and how many of each type.
+
+    ``settled`` gives kind and attempt where they are not the entity's own kind and the first attempt.
+    """
     out, at, kinds = [], 0, {}
     for m in mentions(text):
-        other = surrogate(key, m.kind, m.value, attempts.get((m.kind, m.value), 0))
-        out += [text[at : m.start], rendered(m, text, other)]
+        kind, attempt = settled.get((m.kind, m.value), (m.kind, 0))
+        out += [text[at : m.start], rendered(m, text, surrogate(key, kind, m.value, attempt))]
         at = m.end
-        kind = "name" if m.kind.startswith(("first", "last")) else m.kind
+        kind = "name" if m.kind.startswith(NAMES) else m.kind
         kinds[kind] = kinds.get(kind, 0) + 1
     return "".join([*out, text[at:]]), kinds
 
@@ -291,11 +313,13 @@ def entities(docs: DataFrame) -> DataFrame:
 
 
 def assigned(found: DataFrame, key: bytes) -> DataFrame:
-    """``kind, value, attempt`` of every entity: the attempt at which its surrogate is its own.
+    """``kind, value, settled, attempt`` of every entity: the attempt at which its surrogate is its own.
 
+    A name is one entity, first or last and whatever the titles before it. Its ``settled`` kind has the
+    gender that all texts tell, or none if they tell both or neither; other kinds are settled as they are.
     All entities try at once. A surrogate that is also a real value of the type, or that was given to
     another entity, is no one's: of several that try the same at once the first by value has it. All
-    names of a script are one type here, whatever their gender and place. The
+    names of a script are one type here. The
     others try again, with longer surrogates where a format is full, until none is left. Every step is a
     join or an aggregate over written tables.
     """
@@ -312,10 +336,17 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
         cut = (F.col(kind) == "phone") & (F.length(value) > 9)
         return F.when(cut, F.substring(F.col(value), -9, 9)).otherwise(F.col(value))
 
-    is_name = F.col("kind").rlike("^(first|last)_")
+    is_name = F.col("kind").rlike("^(first|last|name)_")
     pool = F.when(is_name, F.concat(F.lit("name_"), F.substring_index("kind", "_", -1))).otherwise(F.col("kind"))
-    pending = found.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
-    real = saved(found.select(pool.alias("pool"), comparable_value().alias("other")).distinct(), "real-values")
+    gender = F.when(is_name, F.element_at(F.split("kind", "_"), 2))
+    own = saved(found.select(pool.alias("pool"), "kind", "value", gender.alias("gender")).distinct(), "kinds")
+    told = F.collect_set(F.when(F.col("gender") != "n", F.col("gender")))
+    whole = own.groupBy("pool", "value").agg(F.first("gender").alias("any"), told.alias("told"))
+    one = F.when(F.size("told") == 1, F.element_at("told", 1)).otherwise("n")
+    settled = F.when(F.col("any").isNotNull(), F.concat_ws("_", F.lit("name"), one, F.substring_index("pool", "_", -1)))
+    whole = saved(whole.select("pool", "value", F.coalesce(settled, "pool").alias("settled")), "settled")
+    pending = whole.select(F.col("settled").alias("kind"), "value", F.lit(0).alias("attempt"))
+    real = saved(whole.select("pool", comparable_value("pool").alias("other")).distinct(), "real-values")
     done = []
     for round_ in count():
         tries = saved(pending.mapInArrow(tried, schema).withColumn("pool", pool), "tries")
@@ -334,43 +365,58 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
     out = done[0]
     for won in done[1:]:
         out = out.unionByName(won)
-    return out.select("kind", "value", "attempt")
+    out = out.select("pool", "value", F.col("kind").alias("settled"), "attempt")
+    return own.join(out, ["pool", "value"]).select("kind", "value", "settled", "attempt")
 
 
-def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     """All columns of ``docs``, the text with surrogates, and ``__kinds``: entities replaced, by type.
 
-    Surrogates follow from the key and the entity, so one entity has the same in every document. Only
-    those whose first surrogate was not their own differ from that; they are few, are listed for the
-    documents that hold them, and are joined to these by Spark, by broadcast only if the written list
-    is small. Null texts stay null, texts without entities stay as they are, repeated rows are treated
-    alike, and rows with a null doc_id keep it. An empty table gives no rows.
+    Surrogates follow from the secret ``key`` and the entity, so one entity has the same in every
+    document. Entities that are settled otherwise than their own text tells are listed for the documents
+    that hold them: names of another gender, and those whose first surrogate was not their own. They are
+    joined to the documents by Spark, by broadcast only if the written list is small. Null texts stay
+    null, texts without entities stay as they are, repeated rows are treated alike, rows with a null
+    doc_id keep it, and texts are read whole. An empty table gives no rows. Other columns stay as they
+    are, but for one named ``__kinds``, which is replaced.
     """
+    if not key:
+        raise ValueError("surrogates need a secret key")
     found = entities(docs)
-    again = saved(assigned(found, key).filter("attempt > 0"), "later-attempts")
+    changed = (F.col("attempt") > 0) | (F.col("settled") != F.regexp_replace("kind", "^(first|last)_", "name_"))
+    again = saved(assigned(found, key).filter(changed), "later-attempts")
+    row_id, fixed = _unused("__id", docs.columns), _unused("__fixes", docs.columns)
     fixes = saved(
         found.distinct()
         .join(again, ["kind", "value"])
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("__fixes")),
+        .groupBy(F.col("doc_id").alias(row_id))
+        .agg(F.collect_set(F.struct("kind", "value", "settled", "attempt")).alias(fixed)),
         "fixes",
     )
     bound_batches(docs.sparkSession)
-    rows = docs.join(fixes, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    kept = docs.drop("__kinds")
+    rows = kept.join(fixes, F.col("doc_id").eqNullSafe(F.col(row_id)), "left").drop(row_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, kinds = [], []
-            for text, own in zip(batch["text"].to_pylist(), batch["__fixes"].to_pylist(), strict=True):
-                attempts = {(x["kind"], x["value"]): x["attempt"] for x in own or ()}
-                new, counts = (None, {}) if text is None else replace(text, key, attempts)
+            for text, own in zip(batch["text"].to_pylist(), batch[fixed].to_pylist(), strict=True):
+                settled = {(x["kind"], x["value"]): (x["settled"], x["attempt"]) for x in own or ()}
+                new, counts = (None, {}) if text is None else replace(text, key, settled)
                 texts.append(new)
                 kinds.append(list(counts.items()))
-            names = [n for n in batch.schema.names if n != "__fixes"]
+            names = [n for n in batch.schema.names if n != fixed]
             columns = [pa.array(texts, pa.string()) if n == "text" else batch[n] for n in names]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(kinds, pa.map_(pa.string(), pa.int32()))], [*names, "__kinds"]
             )
 
-    schema = docs.withColumn("__kinds", F.lit(None).cast("map<string,int>")).schema
+    schema = kept.withColumn("__kinds", F.lit(None).cast("map<string,int>")).schema
     return rows.mapInArrow(run, schema)
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    """The name, longer if a column has it."""
+    while name in map(str.lower, columns):
+        name += "_"
+    return name

@@ -39,6 +39,10 @@ RULES = [
 LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
+#: Decides the surrogates of the test tables. Real texts need a secret one.
+SURROGATE_KEY = b"key of the test tables"
+
+
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best others of every vector whose id is divisible by 50."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))
@@ -57,7 +61,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for its personal data, and how many."""
-    replaced = pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    replaced = pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
     counts = F.aggregate(F.map_values("__kinds"), F.lit(0), lambda a, b: a + b)
     return replaced.select("doc_id", "text", F.coalesce(counts, F.lit(0)).alias("n_entities"))
 

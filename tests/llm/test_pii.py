@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -95,19 +96,98 @@ def test_names_of_all_kinds_are_distinct(frame):
     found = [(i, k, f"{k}{i}") for k in kinds_ for i in range(1500)] + [(1, "first_n_latin", "ana"), (1, "last_n_latin", "ana")]
     done = pii.assigned(frame(found, "doc_id long, kind string, value string"), KEY).collect()
     assert {(r["kind"], r["value"]) for r in done} == {f[1:] for f in found} and len(done) == len(found)
-    others = [pii.surrogate(KEY, r["kind"], r["value"], r["attempt"]) for r in done]
-    assert len(set(others)) == len(others) and max(r["attempt"] for r in done) > 0
+    others = {(r["value"], pii.surrogate(KEY, r["settled"], r["value"], r["attempt"])) for r in done}
+    # a name has one surrogate as a first and as a last name
+    assert len({o for _, o in others}) == len(others) == len({r["value"] for r in done}) and max(r["attempt"] for r in done) > 0
 
 
 def test_later_attempts_reach_the_texts(frame, monkeypatch):
     monkeypatch.setattr(
-        pii, "assigned", lambda found, key: found.select("kind", "value").distinct().selectExpr("*", "if(value = 'bo@x.org', 2, 0) as attempt")
+        pii, "assigned", lambda found, key: found.select("kind", "value").distinct().selectExpr("*", "kind as settled", "if(value = 'bo@x.org', 2, 0) as attempt")
     )
     docs = frame([(1, "bo@x.org al@x.org"), (2, "bo@x.org"), (None, "bo@x.org"), (3, "al@x.org")], "doc_id long, text string")
     two, zero = pii.surrogate(KEY, "email", "bo@x.org", 2), pii.surrogate(KEY, "email", "al@x.org", 0)
     assert sorted(r["text"] for r in pii.with_surrogates(docs, KEY).collect()) == sorted([f"{two} {zero}", two, two, zero])
 
 
+def test_people_are_the_same_by_any_title(frame):
+    texts = ["Mrs. Maria Keller came.", "Dr. Maria Keller came.", "Mr. Kim Keller", "Mrs. Kim Ross", "Dr. Maria Ross and KELLER"]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r["text"] for r in sorted(pii.with_surrogates(docs, KEY).collect())]
+    first, last = re.fullmatch(r"Mrs\. (\w+) (\w+) came\.", new[0]).groups()
+    assert new[1] == f"Dr. {first} {last} came." and first.endswith("la")
+    kim, ross = re.fullmatch(rf"Mr\. (\w+) {last}; Mrs\. \1 (\w+)", f"{new[2]}; {new[3]}").groups()
+    # texts tell both genders, so the name has neither
+    assert kim.endswith("s") and len({first, last, kim, ross}) == 4
+    # no title makes the last word of this text a name
+    assert new[4] == f"Dr. {first} {ross} and KELLER"
+
+
+def brute_assigned(found):
+    """Kind and attempt of every entity, settled one attempt after the other."""
+    whole = {}
+    for kind, value in found:
+        whole.setdefault((pii._pool(kind), value), set()).add(kind)
+    settled = {}
+    for (pool, value), kinds_ in whole.items():
+        told = {k.split("_")[1] for k in kinds_} - {"n"} if pool.startswith("name_") else set()
+        gender = told.pop() if len(told) == 1 else "n"
+        settled[pool, value] = f"name_{gender}_{pool[5:]}" if pool.startswith("name_") else pool
+    taken = {(pool, v[-9:] if pool == "phone" and len(v) > 9 else v) for pool, v in settled}
+    out, attempt = {}, 0
+    while len(out) < len(settled):
+        for pool, value in sorted(settled.keys() - out.keys(), key=lambda x: x[1]):
+            kind = settled[pool, value]
+            other = pool, pii.comparable(kind, value, pii.surrogate(KEY, kind, value, attempt))
+            if other not in taken:
+                taken.add(other)
+                out[pool, value] = attempt
+        attempt += 1
+    return {(k, v): (settled[pii._pool(k), v], out[pii._pool(k), v]) for k, v in found}
+
+
+def test_whole_query_like_brute_force(frame):
+    random.seed(6)
+    titles = ["Mr", "Mrs.", "Dr.", "Herr", "Frau"]
+    names = [a + b for a in "BDFGK" for b in ("a", "eli", "oran", "ibel")]
+    data = []
+    for i in range(600):
+        person = f"{random.choice(titles)} {random.choice(names)} {random.choice(names)}x"
+        data.append((i, f"{person} wrote from a{random.choice('bcd')}@x{random.choice('yz')}.org and 10.0.{i % 7}.{i % 11}; 2001:db8::{i % 5:x}1, code AKIA{i % 9:016d}"))
+    data += [(600, None), (601, ""), (None, data[0][1]), (3, data[3][1])]
+    found = {(m.kind, m.value) for _, t in data for m in pii.mentions(t or "")}
+    settled = brute_assigned(found)
+    expected = sorted(str((i, t and pii.replace(t, KEY, settled)[0])) for i, t in data)
+    rows = pii.with_surrogates(frame(data, "doc_id long, text string").repartition(3), KEY).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in rows) == expected
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("from 2001:0DB8:85a3::8a2e:370:7334.", ["2001:db8:85a3::8a2e:370:7334"]),
+        ("fe80::1%eth0, 2a00:1450:4001:81b::200e", ["fe80::1", "2a00:1450:4001:81b::200e"]),
+        ("at 12:30:45 or 01:02, std::vector a::b ::1 :: 1:2:3:4:5:6:7:8:9 aa:bb:cc:dd:ee:ff", []),
+    ],
+)
+def test_addresses_of_version_6(text, found):
+    assert kinds(text) == [("ip", f) for f in found]
+    new = pii.replace(text, KEY, {})[0]
+    assert all(f not in new for f in found) and (new == text) == (not found)
+    assert [k for k, _ in kinds(new)] == ["ip"] * len(found)
+
+
+def test_clashing_columns(frame):
+    docs = frame([(1, "to bo@x.org", "a", "b", "c")], "doc_id long, text string, __id string, __fixes string, __kinds string")
+    row = pii.with_surrogates(docs, KEY).collect()[0]
+    assert (row["__id"], row["__fixes"], row["__kinds"]) == ("a", "b", {"email": 1})
+
+
+def test_a_key_is_needed(frame):
+    with pytest.raises(ValueError, match="key"):
+        pii.with_surrogates(frame([(1, "x")], "doc_id long, text string"), b"")
+
+
 @pytest.mark.parametrize("text", ["Password: ********", "secret: ......", "auth = ------", "pwd=______"])
 def test_masked_secrets_stay(frame, text):
     assert kinds(text) == [] and kinds(text + " bo@x.org") == [("email", "bo@x.org")]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm import mixing, packing, pii, simhash, toxicity
 from crawlspark.llm.common import saved, table
+from crawlspark.llm.queries import SURROGATE_KEY
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in their texts; ``n_chars`` follows the text."""
-    replaced = pii.with_surrogates(docs).select(*docs.columns)
+    replaced = pii.with_surrogates(docs, SURROGATE_KEY).select(*docs.columns)
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return replaced

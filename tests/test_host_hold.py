@@ -1,7 +1,9 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from crawlspark.streaming import host_hold
 
@@ -79,3 +81,55 @@ def test_no_facts(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert host_hold.host_holds(none).count() == 0
     assert host_hold.open_host_holds(none).count() == 0
+
+
+class _Handle:
+    """State and timers of one bucket, which counts how often the state is read whole."""
+
+    def __init__(self):
+        self.rows, self.timers, self.reads = {}, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def iterator(self):
+        self.reads += 1
+        return iter(list(self.rows.items()))
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+
+def test_a_bucket_is_read_once_a_trigger():
+    hosts, hold_us = 200, 60_000_000
+    handle, processor = _Handle(), host_hold.HostHold(hold_us, hosts)
+    processor.init(handle)
+    facts = [fact(i / 10, f"host{i}", "x") for i in range(hosts)]
+    rows = pd.DataFrame(facts, columns=[f.split()[0] for f in SCHEMA.split(", ")])
+    rows["seen_us"] = [BASE * 1_000_000 + i * 100_000 for i in range(hosts)]
+    assert [len(out) for out in processor.handleInputRows((0,), iter([rows]), None)] == [0]
+    for passed, left in ((150, 50), (199, 1), (200, 0)):
+        mark = BASE * 1_000 + 60_000 + (passed - 1) * 100
+        values, before, emitted = TimerValues(0, mark), handle.reads, []
+        for at in sorted(t for t in handle.timers if t <= mark):
+            for out in processor.handleExpiredTimer((0,), values, ExpiredTimerInfo(at)):
+                emitted += list(out["fqdn_no_www"])
+            handle.deleteTimer(at)
+        assert handle.reads - before == 1
+        assert len(handle.rows) == left and len(handle.timers) == min(left, 1)
+        assert f"host{passed - 1}" in emitted

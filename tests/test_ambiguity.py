@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from crawlspark.functions import ambiguity
 from crawlspark.functions.ambiguity import can_explode
 from crawlspark.sources import catalog
 
@@ -105,6 +106,32 @@ def test_what_counts_as_fine_has_few_ways(part):
         assert max(ends.values(), default=0) <= 400, text
 
 
+texts = st.sampled_from(["", "a", "12", "ab 7", "{2", "é", "a|b", r"\d4", r"\x61", "[a]1", "x" * 150, "b{3}", "$", "^ab"])
+
+
+@given(texts, parts, st.sampled_from("*+"), texts, parts, texts)
+@settings(max_examples=300, deadline=None)
+def test_text_outside_groups_changes_nothing(before, first, times, between, second, after):
+    pattern = f"{before}(?:{first}){times}{between}(?:{second})+{after}"
+    assert can_explode(pattern) == ambiguity._verdict.__wrapped__(pattern, False)[0], pattern
+
+
+def test_patterns_with_equal_loops_are_judged_once(monkeypatch):
+    judged, automaton = [], ambiguity._Automaton
+
+    def counted(pattern, ignore_case):
+        judged.append(pattern)
+        return automaton(pattern, ignore_case)
+
+    monkeypatch.setattr(ambiguity, "_Automaton", counted)
+    ambiguity._verdict.cache_clear()
+    for i in range(500):
+        assert can_explode(f"shop {i}(u+)+{i * 37}$") and not can_explode(f"shop {i}(uv+)+{i * 37}$")
+    assert len(judged) == 2
+    # what is left out counts as states, beyond which no pattern is judged
+    assert can_explode(f"(u+)+{'a' * 199}") and not can_explode(f"(u+)+{'a' * 200}")
+
+
 def test_engine_agrees():
     """The engine at hand needs long for one kind and not for the other, on a text that is refused."""
     text = "a" * 18 + "!"

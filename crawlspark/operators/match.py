@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from crawlspark.functions import patterns
 from crawlspark.functions.emails import find_emails
 from crawlspark.operators.rule_index import indexed_matches
-from crawlspark.runtime import broadcast_if_small, work_dir
+from crawlspark.runtime import bound_batches, broadcast_if_small, work_dir
 
 BODY_KINDS = ("html", "scripts")
 
@@ -105,6 +105,7 @@ def technologies(
 
     For a catalog of more than INDEX_ABOVE rules, pages and findings are written on the way.
     """
+    bound_batches(pages.sparkSession)
     if headers is not None:
         kinds = [*kinds, "headers"]
     wanted = catalog.where(F.col("evidence").isin(list(kinds)))
@@ -326,6 +327,7 @@ def _finding(kind: Column, value: Column) -> Column:
 def technology_extractor(catalog: DataFrame, text: str = "html", headers: str | None = None) -> Extractor:
     """Technologies by ``text``, and by the map column ``headers`` if one is named."""
     kinds = [*BODY_KINDS, "headers"] if headers is not None else list(BODY_KINDS)
+    bound_batches(catalog.sparkSession)
     rules = _rules(catalog.where(F.col("evidence").isin(kinds)), INDEX_ABOVE)
 
     def finding(found: Column) -> Column:

@@ -93,7 +93,8 @@ def candidates(pages: DataFrame, index: DataFrame, rules: int, text: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [page_pieces((t or "").encode(), words.value) for t in batch[text].to_pylist()]
+            # one page at a time, not a list of them
+            found = [page_pieces((t.as_py() or "").encode(), words.value) for t in batch[text]]
             rows = np.repeat(batch["_row"].to_numpy(), [len(f) for f in found])
             every = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(every)], ["_row", "piece"])

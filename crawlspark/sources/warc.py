@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from crawlspark.functions.payload import decode_payload
 from crawlspark.operators.totals import equal_shares
+from crawlspark.runtime import bound_batches
 from crawlspark.schemas import ARCHIVE_RECORD
 
 # A task reads or scans this much, if there is enough for all cores: less than FEW_BYTES is not divided
@@ -39,7 +40,7 @@ PAUSE_SECONDS = 0.5
 # An archive is scanned in ranges of this size
 SPLIT_BYTES = 128 * 1024 * 1024
 # Rows go back to Spark once they hold this much
-YIELD_BYTES = 16 * 1024 * 1024
+YIELD_BYTES = 4 * 1024 * 1024
 BUFFER_BYTES = 1024 * 1024
 BLOCK_BYTES = 32 * 1024
 MEMBER_START = b"\x1f\x8b\x08"
@@ -63,6 +64,7 @@ def read_records(
     file that many rows point to is shared. ``task_bytes`` counts ``READ_COST_BYTES`` for every record.
     A null length counts as 0.
     """
+    bound_batches(selected.sparkSession)
     cost = F.greatest(F.col("warc_record_length").cast("long"), F.lit(0)) + READ_COST_BYTES
     placed = _by_bytes(selected, cost, ["warc_filename", "warc_record_offset"], task_bytes, partitions)
     schema = T.StructType(

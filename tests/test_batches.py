@@ -3,8 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlspark.operators import match
-from crawlspark.runtime import BATCH_BYTES, bound_batches
-from crawlspark.sources import catalog
+from crawlspark.plans import derived
+from crawlspark.runtime import BATCH_BYTES, bound_batches, work_dir
+from crawlspark.sources import catalog, warc
 
 LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 PAGE = "<p>" + "x" * 1_000_000
@@ -52,3 +53,17 @@ def test_pages_meet_a_large_catalog_in_small_batches(wide, monkeypatch):
     rules = catalog.catalog_rows(wide, [("P", "html", None, "<p>xxxx"), ("Q", "html", None, "<q>xxxx")])
     assert match.match_pages(pages(wide), rules).count() == 24
     assert in_bounds(wide)
+
+
+def test_archives_are_written_and_read_in_small_batches(wide):
+    root = work_dir(wide, "archives")
+    records = pages(wide).select(
+        "page_id", F.lit("http://a.org/").alias("url"), F.lit("c").alias("crawl"), F.encode("html", "UTF-8").alias("payload")
+    )
+    index = derived.write_archives(records, root)
+    assert in_bounds(wide)
+    wide.conf.set(LIMIT, "64m")
+    read = warc.read_records(index, f"file://{root}")
+    assert in_bounds(wide)
+    assert read.where(F.octet_length("payload") == len(PAGE)).count() == 24
+    assert largest_batch(read) <= BATCH_BYTES + 2 * len(PAGE)
